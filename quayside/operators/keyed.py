@@ -104,15 +104,19 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     return _one_per_key(df, keys, order, F.min_by)
 
 
-def upsert(df: DataFrame, rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """`df` with the last of `rows` for each key put in place of what was there.
+def replace(df: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
+    """`df` with `rows`, one per key, put in place of what was there.
 
     The table is only filtered, never regrouped: when the incoming rows are few it is read
     once and not shuffled.
     """
-    latest = latest_per_key(rows, keys, order)
-    kept = df.join(latest.select(*keys), keys, "left_anti")
-    return kept.unionByName(latest.select(*df.columns))
+    kept = df.join(distinct_keys(rows, keys), keys, "left_anti")
+    return kept.unionByName(rows.select(*df.columns))
+
+
+def upsert(df: DataFrame, rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """`df` with the last of `rows` for each key, by `order`, put in place of what was there."""
+    return replace(df, latest_per_key(rows, keys, order), keys)
 
 
 def changed_values(base: DataFrame, new: DataFrame, keys: list[str], value: str) -> DataFrame:

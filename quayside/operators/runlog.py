@@ -20,9 +20,6 @@ EVENT_SCHEMA = (
     "at timestamp, n_rows bigint, mark string, message string"
 )
 
-_ORDER = F.struct("at", "step")
-
-
 def fold_states(
     events: DataFrame, keys: list[str], at: str, status: str, order: list[str]
 ) -> DataFrame:
@@ -46,7 +43,7 @@ def run_view(events: DataFrame, keys: list[str] | None = None) -> DataFrame:
         columns += [
             to_display(F.min(F.when(started, F.col("at")))).alias(f"{phase}_start_time"),
             to_display(F.max(F.when(done, F.col("at")))).alias(f"{phase}_finish_time"),
-            F.max_by("status", F.when(here, _ORDER)).alias(f"{phase}_status"),
+            F.max_by("status", F.when(here, _order())).alias(f"{phase}_status"),
             _rows_of(phase).alias(f"{phase}_rows"),
         ]
     return events.groupBy(*(keys or ["run_id", "job_name"])).agg(*columns)
@@ -57,7 +54,7 @@ def run_states(events: DataFrame) -> DataFrame:
     done = (F.col("phase") == LOAD) & (F.col("status") == FINISHED)
     return events.groupBy("job_name", "run_id").agg(
         F.max(done).alias("loaded"),
-        F.max_by("mark", F.when(done, _ORDER)).alias("mark"),
+        F.max_by("mark", F.when(done, _order())).alias("mark"),
         F.max("at").alias("last_at"),
     )
 
@@ -81,10 +78,14 @@ def reconcile(landed: DataFrame, loaded: DataFrame, by: list[str]) -> DataFrame:
     return _compare(tagged, by, lambda phase: F.count_if(F.col("phase") == phase))
 
 
+def _order() -> Column:
+    return F.struct("at", "step")
+
+
 def _rows_of(phase: str) -> Column:
     """Rows of a phase when it last finished; a run that started over counts once."""
     done = (F.col("phase") == phase) & (F.col("status") == FINISHED)
-    return F.max_by("n_rows", F.when(done, _ORDER))
+    return F.max_by("n_rows", F.when(done, _order()))
 
 
 def _compare(df: DataFrame, by: list[str], count) -> DataFrame:

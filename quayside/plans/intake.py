@@ -6,18 +6,20 @@ import logging
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.operators import keyed, runlog
 from quayside.operators.discovery import discover_specs
 from quayside.operators.groups import GROUP_SIZE
+from quayside.operators.schema import normalised_schema
 from quayside.operators.specs import good_specs, parse_specs, rejected_specs
 from quayside.plans import load
 from quayside.plans.registry import Registry, spec_of
-from quayside.plans.runs import RunLog, new_run_id
+from quayside.plans.runs import Event, RunLog, new_run_id
 from quayside.sources.databases import JdbcDatabase, ParquetDatabase
 
 log = logging.getLogger(__name__)
@@ -62,7 +64,7 @@ class Intake:
         self.registry.create(good_specs(parsed))
         return rejected_specs(parsed, "input")
 
-    def run_table(self, job_name: str, run_id: str | None = None, save: bool = True) -> Outcome:
+    def run_table(self, job_name: str, run_id: str | None = None) -> Outcome:
         """Import, load and clean up one table; each phase is logged with its row count.
 
         A run that was cut short is taken up again under its own id: its rows are landed
@@ -70,42 +72,9 @@ class Intake:
         again. The last value moves with the event that says the load finished. Run a job
         from one driver at a time.
         """
-        job = self.registry.read(job_name)
-        standing = self.run_log.standing(job_name)
-        if run_id and self.run_log.is_loaded(job_name, run_id):
-            log.info("Run %s of %s is loaded already.", run_id, job_name)
-            return Outcome(job_name, run_id, 0, standing.mark)
-        run_id = run_id or standing.open_run or new_run_id()
-        phase, step = runlog.IMPORT, 0
-
-        def note(status: str, **facts) -> None:
-            nonlocal step
-            step += 1
-            self.run_log.append(run_id, job_name, step, phase, status, **facts)
-
-        note(runlog.STARTED)
-        try:
-            spec = spec_of(job)
-            landing = f"{job['target_dir']}/run-{run_id}"
-            rows, check_col = self._source_rows(spec, standing.mark)
-            landed = load.land(rows, landing, check_col)
-            note(runlog.FINISHED, n_rows=landed.n_rows)
-            phase = runlog.LOAD
-            note(runlog.STARTED)
-            database, table = spec["database"], spec["table"]
-            target = load.ensure_target(
-                self.spark, database, table, self.target_root, rows.schema
-            )
-            path = load.table_path(self.target_root, database, table)
-            loaded = load.load(self.spark, landing, target, path, run_id)
-            note(runlog.FINISHED, n_rows=loaded.n_rows, mark=landed.mark)
-        except Exception as error:
-            note(runlog.ERROR, message=str(error))
-            raise
-        load.clean_up(self.spark, landing)
-        if save and landed.mark is not None:
-            self._save_marks([(job_name, landed.mark)])
-        return Outcome(job_name, run_id, loaded.n_rows, landed.mark)
+        outcome = self._run(self.registry.read(job_name), run_id)
+        self._save_marks([outcome])
+        return outcome
 
     def run_database(self, database: str, batch_size: int = GROUP_SIZE) -> list[Outcome]:
         """Run the enabled jobs of a database, up to `batch_size` at a time.
@@ -113,26 +82,23 @@ class Intake:
         The next job starts as soon as one ends, so a long table holds up no others. A job
         that fails does not stop the rest; its outcome carries the error.
         """
-        jobs = self.registry.search_jobs(database=database, enabled=True)
-        names = [row["job_name"] for row in jobs.select("job_name").orderBy("id").toLocalIterator()]
-        if not names:
+        jobs = self.registry.details(database=database, enabled=True).orderBy("job_name").collect()
+        if not jobs:
             log.warning("No jobs found for database %s", database)
             return []
 
-        def run(job_name: str) -> Outcome:
-            self.spark.sparkContext.setLocalProperty("spark.scheduler.pool", job_name)
+        def run(job: Row) -> Outcome:
+            self.spark.sparkContext.setLocalProperty("spark.scheduler.pool", job["job_name"])
             try:
-                return self.run_table(job_name, save=False)
+                return self._run(job)
             except Exception as error:
-                log.exception("Job %s failed", job_name)
-                return Outcome(job_name, None, 0, None, str(error))
+                log.exception("Job %s failed", job["job_name"])
+                return Outcome(job["job_name"], None, 0, None, str(error))
 
         run_inherited = inheritable_thread_target(self.spark)(run)
         with ThreadPoolExecutor(batch_size) as pool:
-            outcomes = list(pool.map(run_inherited, names))
-        marks = [(o.job_name, o.mark) for o in outcomes if o.error is None and o.mark is not None]
-        if marks:
-            self._save_marks(marks)
+            outcomes = list(pool.map(run_inherited, jobs))
+        self._save_marks(outcomes)
         return outcomes
 
     def list_jobs(self, database: str | None = None) -> DataFrame:
@@ -143,23 +109,60 @@ class Intake:
         """One JSON object per property of a job."""
         return json_lines(self.registry.search_props(job_name=job_name))
 
-    def _source_rows(
-        self, spec: dict[str, str], mark: str | None
-    ) -> tuple[DataFrame, str | None]:
-        """The rows to import, and the check column if the job is incremental."""
+    def _run(self, job: Row, run_id: str | None = None) -> Outcome:
+        job_name = job["job_name"]
+        standing = self.run_log.standing(job_name)
+        if run_id and self.run_log.is_loaded(job_name, run_id):
+            log.info("Run %s of %s is loaded already.", run_id, job_name)
+            return Outcome(job_name, run_id, 0, standing.mark)
+        run_id = run_id or standing.open_run or new_run_id()
+        event = partial(Event, run_id, job_name)
+        phase = runlog.IMPORT
+        self.run_log.append(event(1, phase, runlog.STARTED))
+        try:
+            spec, landing = spec_of(job), f"{job['target_dir']}/run-{run_id}"
+            rows = self._source_rows(spec, standing.mark)
+            landed = load.land(rows, landing, spec["check_col"] or None)
+            imported = event(2, phase, runlog.FINISHED, n_rows=landed.n_rows)
+            phase = runlog.LOAD
+            self.run_log.append(imported, event(3, phase, runlog.STARTED))
+            database, table = spec["database"], spec["table"]
+            target = load.ensure_target(
+                self.spark, database, table, self.target_root, rows.schema
+            )
+            path = load.table_path(self.target_root, database, table)
+            loaded = load.load(
+                self.spark,
+                landing,
+                target,
+                path,
+                run_id,
+                job["layout"],
+                normalised_schema(rows.schema),
+            )
+            self.run_log.append(
+                event(4, phase, runlog.FINISHED, n_rows=loaded.n_rows, mark=landed.mark)
+            )
+        except Exception as error:
+            self.run_log.append(event(5, phase, runlog.ERROR, message=str(error)))
+            raise
+        load.clean_up(self.spark, landing)
+        return Outcome(job_name, run_id, loaded.n_rows, landed.mark)
+
+    def _source_rows(self, spec: dict[str, str], mark: str | None) -> DataFrame:
+        """The whole table, or with a check column the rows past the last value."""
         source = self.connect(spec["db_type"], spec["server"], spec["database"])
         table, check_col = spec["table"], spec["check_col"] or None
         last = (mark or spec["last_val"] or None) if check_col else None
         high = source.high_mark(table, check_col, last) if check_col else None
-        rows = source.read(
-            table, spec["split_by"] or None, int(spec["mappers"]), check_col, last, high
-        )
-        return rows, check_col
-
-    def _save_marks(self, marks: list[tuple[str, str]]) -> None:
-        self.registry.save_marks(
-            self.spark.createDataFrame(marks, "job_name string, last_val string")
-        )
+        split_by, mappers = spec["split_by"] or None, int(spec["mappers"])
+        return source.read(table, split_by, mappers, check_col, last, high)
+
+    def _save_marks(self, outcomes: list[Outcome]) -> None:
+        marks = [(o.job_name, o.mark) for o in outcomes if o.error is None and o.mark is not None]
+        if marks:
+            rows = self.spark.createDataFrame(marks, "job_name string, last_val string")
+            self.registry.save_marks(rows)
 
 
 def json_lines(df: DataFrame) -> DataFrame:

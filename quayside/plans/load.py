@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from quayside.operators.schema import (
     normalise,
     normalised_schema,
 )
-from quayside.session import delete_path, path_exists
+from quayside.session import delete_path, path_exists, write_json_lines
 from quayside.sources.datasets import open_landing
 
 # Default roots and the file layout and codec of landed data.
@@ -102,7 +103,13 @@ def evolve_target(spark: SparkSession, name: str, path: str, source: T.StructTyp
 
 
 def load(
-    spark: SparkSession, landing: str, target: str, path: str, run_id: str, layout: str = LAYOUT
+    spark: SparkSession,
+    landing: str,
+    target: str,
+    path: str,
+    run_id: str,
+    layout: str = LAYOUT,
+    schema: T.StructType | None = None,
 ) -> Landed:
     """Add a landed batch to its target table and count the rows on the way.
 
@@ -112,7 +119,7 @@ def load(
     """
     if layout != LAYOUT:
         raise UnsupportedLayout(f"cannot load files of layout {layout}")
-    batch = open_landing(spark, landing)
+    batch = open_landing(spark, landing, schema)
     if batch is None:
         raise LandingMissing(f"no dataset found at {landing}")
     seen = Observation()
@@ -142,14 +149,13 @@ def _create(spark: SparkSession, name: str, path: str, schema: T.StructType) ->
 
 
 def _log_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    entry = spark.createDataFrame([(schema.json(),)], "schema string")
-    entry = entry.withColumn("at", F.current_timestamp())
-    entry.write.mode("append").parquet(f"{path}/{_SCHEMA_LOG}")
+    entry = {"at": datetime.now(timezone.utc).isoformat(), "schema": schema.json()}
+    write_json_lines(spark, f"{path}/{_SCHEMA_LOG}", [entry])
 
 
 def _last_schema(spark: SparkSession, path: str) -> T.StructType | None:
     if not path_exists(spark, f"{path}/{_SCHEMA_LOG}"):
         return None
-    entries = spark.read.parquet(f"{path}/{_SCHEMA_LOG}")
+    entries = spark.read.schema("at timestamp, schema string").json(f"{path}/{_SCHEMA_LOG}")
     latest = entries.agg(F.max_by("schema", "at")).first()[0]
     return T.StructType.fromJson(json.loads(latest))

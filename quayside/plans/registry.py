@@ -9,14 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quayside.errors import JobNotFound
 from quayside.functions import naming
 from quayside.operators import keyed
 from quayside.operators.specs import describe_jobs
 from quayside.plans.load import CODEC, LAYOUT
-from quayside.session import child_names
+from quayside.session import child_names, path_exists
 
 JOBS_SCHEMA = (
     "id bigint, job_type string, job_name string, server string, database string, "
@@ -40,8 +39,9 @@ SPEC_PROPERTIES = {
     "incremental.col": "check_col",
     "incremental.last.value": "last_val",
 }
+LAYOUT_PROPERTY = "hdfs.file.format"
 FIXED_PROPERTIES = {
-    "hdfs.file.format": LAYOUT,
+    LAYOUT_PROPERTY: LAYOUT,
     "compression.codec": CODEC,
     "direct.import": "false",
     "hive.drop.delims": "true",
@@ -94,22 +94,24 @@ class Registry:
 
     def read(self, job_name: str) -> Row:
         """One job with its spec, put together from its properties."""
-        jobs = self.search_jobs(job_name=job_name)
-        found = keyed.with_children(jobs, self.specs(), JOB_KEY).first()
+        found = self.details(job_name=job_name).first()
         if found is None:
             raise JobNotFound(f"job {job_name} does not exist")
         return found
 
+    def details(self, **criteria: object) -> DataFrame:
+        """The jobs searched for, each with a column for every property a run needs."""
+        return keyed.with_children(self.search_jobs(**criteria), self.specs(), JOB_KEY)
+
     def specs(self) -> DataFrame:
-        """One row per job with a column for each spec property."""
-        return keyed.read_properties(
-            self.props(), JOB_KEY, SPEC_PROPERTIES, prop_class=CLASS_OPTIONS
-        )
+        """One row per job with a column for each property a run needs."""
+        names = {**SPEC_PROPERTIES, LAYOUT_PROPERTY: "layout"}
+        return keyed.read_properties(self.props(), JOB_KEY, names, prop_class=CLASS_OPTIONS)
 
     def create(self, specs: DataFrame) -> None:
         """Register the specs whose job is new; jobs that exist stay as they are."""
         new = keyed.missing_from(specs, self.jobs(), JOB_KEY)
-        self._write_props(keyed.insert(self.props(), self._prop_rows(new)))
+        self.write_properties(self._prop_rows(new))
         self._write_jobs(keyed.insert(self.jobs(), self._job_rows(new)))
 
     def save(self, specs: DataFrame) -> None:
@@ -132,7 +134,7 @@ class Registry:
 
     def write_properties(self, rows: DataFrame) -> None:
         """Put property rows in place; the rows hold each job and name once."""
-        self._write_props(keyed.upsert(self.props(), rows, PROP_KEY, ["prop_val"]))
+        self._write_props(keyed.replace(self.props(), rows, PROP_KEY))
 
     def save_settings(self, job_name: str, settings: DataFrame, defaults: DataFrame) -> None:
         """Keep the settings (name, value) that differ from a default of the same name."""
@@ -174,7 +176,8 @@ class Registry:
         return counts
 
     def delete_property(self, job_name: str, prop_name: str) -> int:
-        doomed = self.spark.createDataFrame([(job_name, prop_name)], "job_name string, prop_name string")
+        key = [(job_name, prop_name)]
+        doomed = self.spark.createDataFrame(key, "job_name string, prop_name string")
         kept, gone = keyed.delete(self.props(), doomed, PROP_KEY)
         n_gone = gone.count()
         self._write_props(kept)
@@ -212,16 +215,12 @@ class Registry:
     def _write_props(self, df: DataFrame) -> None:
         self._write("props", df)
 
-    def _versions(self, table: str) -> list[str]:
-        folders = child_names(self.spark, f"{self.root}/{table}")
-        paths = [f"{self.root}/{table}/{name}" for name in folders]
-        return [path for path in paths if "_SUCCESS" in child_names(self.spark, path)]
-
     def _read(self, table: str, schema: str) -> DataFrame:
-        versions = self._versions(table)
-        if not versions:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(T.StructType.fromDDL(schema)).parquet(versions[-1])
+        for version in reversed(child_names(self.spark, f"{self.root}/{table}")):
+            path = f"{self.root}/{table}/{version}"
+            if path_exists(self.spark, f"{path}/_SUCCESS"):
+                return self.spark.read.schema(schema).parquet(path)
+        return self.spark.createDataFrame([], schema)
 
     def _write(self, table: str, df: DataFrame) -> None:
         number = len(child_names(self.spark, f"{self.root}/{table}")) + 1

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass, field
 from datetime import datetime, timezone
 from urllib.parse import quote
 
@@ -12,7 +12,22 @@ from pyspark.sql import functions as F
 
 from quayside.operators import runlog
 from quayside.operators.keyed import search
-from quayside.session import path_exists
+from quayside.session import path_exists, write_json_lines
+
+
+@dataclass(frozen=True)
+class Event:
+    """A change of state of one run."""
+
+    run_id: str
+    job_name: str
+    step: int
+    phase: str
+    status: str
+    at: str = field(default_factory=lambda: datetime.now(timezone.utc).isoformat())
+    n_rows: int | None = None
+    mark: str | None = None
+    message: str | None = None
 
 
 @dataclass(frozen=True)
@@ -31,28 +46,17 @@ class RunLog:
     spark: SparkSession
     root: str
 
-    def append(
-        self,
-        run_id: str,
-        job_name: str,
-        step: int,
-        phase: str,
-        status: str,
-        n_rows: int | None = None,
-        mark: str | None = None,
-        message: str | None = None,
-    ) -> None:
-        at = datetime.now(timezone.utc)
-        event = (run_id, job_name, step, phase, status, at, n_rows, mark, message)
-        df = self.spark.createDataFrame([event], runlog.EVENT_SCHEMA)
-        df.coalesce(1).write.mode("append").parquet(self._folder(job_name))
+    def append(self, *events: Event) -> None:
+        """Write events of one job together."""
+        records = [asdict(event) for event in events]
+        write_json_lines(self.spark, self._folder(events[0].job_name), records)
 
     def events(self, job_name: str | None = None) -> DataFrame:
         path = self.root if job_name is None else self._folder(job_name)
         if not path_exists(self.spark, path):
             return self.spark.createDataFrame([], runlog.EVENT_SCHEMA)
         reader = self.spark.read.schema(runlog.EVENT_SCHEMA).option("recursiveFileLookup", "true")
-        return reader.parquet(path)
+        return reader.json(path)
 
     def search(self, job_name: str | None = None, status: str | None = None) -> DataFrame:
         return search(self.events(job_name), status=status)
@@ -66,6 +70,8 @@ class RunLog:
 
     def standing(self, job_name: str) -> Standing:
         """The mark of the latest load, and the id of the latest run if it did not load."""
+        if not path_exists(self.spark, self._folder(job_name)):
+            return Standing(None, None)
         states = runlog.run_states(self.events(job_name))
         marked_at = F.when(F.col("loaded") & F.col("mark").isNotNull(), F.col("last_at"))
         unfinished = F.when(~F.col("loaded"), F.col("run_id"))

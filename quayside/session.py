@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -67,3 +69,22 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 def delete_path(spark: SparkSession, path: str) -> bool:
     filesystem, jvm_path = _filesystem(spark, path)
     return filesystem.delete(jvm_path, True)
+
+
+def write_json_lines(spark: SparkSession, folder: str, records: list[dict]) -> None:
+    """Add a small file of JSON lines to a folder.
+
+    The driver writes it, so a note about a job never waits for executors that are busy
+    with jobs. It is written under a name that readers skip and renamed once complete.
+    """
+    name = f"{time.time_ns()}-{uuid.uuid4().hex}.json"
+    filesystem, hidden = _filesystem(spark, f"{folder}/_{name}")
+    _, final = _filesystem(spark, f"{folder}/{name}")
+    lines = "".join(json.dumps(record, default=str) + "\n" for record in records)
+    stream = filesystem.create(hidden, False)
+    try:
+        stream.write(lines.encode())
+    finally:
+        stream.close()
+    if not filesystem.rename(hidden, final):
+        raise QuaysideError(f"cannot write {final}")

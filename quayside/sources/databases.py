@@ -78,13 +78,13 @@ class JdbcDatabase:
     url: str
     name: str
     options: dict[str, str] = field(default_factory=dict)
-    quote: str = '"'
 
     def _reader(self):
         return self.spark.read.format("jdbc").option("url", self.url).options(**self.options)
 
     def _quoted(self, name: str) -> str:
-        return self.quote + name.replace(self.quote, self.quote * 2) + self.quote
+        quote = "`" if self.url.startswith("jdbc:mysql:") else '"'
+        return quote + name.replace(quote, quote * 2) + quote
 
     def table(self, table: str) -> DataFrame:
         return self._reader().option("dbtable", self._quoted(table)).load()
@@ -128,7 +128,7 @@ class JdbcDatabase:
     ) -> str:
         if not check_col:
             return ""
-        data_type = self.schema(table)[check_col].dataType
+        data_type = self.table(table).select(check_col).schema[0].dataType
         column = self._quoted(check_col)
         tests = [f"{column} > {_sql_literal(last, data_type)}"] if last else []
         tests += [f"{column} <= {_sql_literal(high, data_type)}"] if high else []

@@ -14,9 +14,17 @@ from quayside.session import path_exists
 log = logging.getLogger(__name__)
 
 
-def open_landing(spark: SparkSession, path: str) -> DataFrame | None:
-    """The Parquet dataset at a path, or none when nothing is there."""
-    return spark.read.parquet(path) if path_exists(spark, path) else None
+def open_landing(
+    spark: SparkSession, path: str, schema: T.StructType | None = None
+) -> DataFrame | None:
+    """The Parquet dataset at a path, or none when nothing is there.
+
+    A schema known already saves the look into the files' footers.
+    """
+    if not path_exists(spark, path):
+        return None
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
 
 
 def create_dataset(
@@ -29,7 +37,7 @@ def create_dataset(
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A directory of CSV text without a header; the schema names the columns.
+    """A directory of CSV text without a header; the schema names the columns, empty text is null.
 
     A missing directory is no error: it is logged, and gives no rows.
     """

@@ -32,4 +32,4 @@ def increment(df: DataFrame, check_col: str, last: str | None, high: str | None)
 
 
 def _typed(df: DataFrame, check_col: str, value: str) -> Column:
-    return F.lit(value).cast(df.schema[check_col].dataType)
+    return F.lit(value).cast(df.select(check_col).schema[0].dataType)

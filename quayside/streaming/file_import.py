@@ -23,8 +23,8 @@ def land_new_files(
     checkpoint: str,
     name_filter: str = "*.parquet",
     max_files: int = 1000,
-) -> int:
-    """Land new Parquet files of `source`, at most `max_files` per batch; rows landed."""
+) -> None:
+    """Land new Parquet files of `source`, at most `max_files` per batch."""
     reader = spark.readStream.schema(schema).option("pathGlobFilter", name_filter)
     files = reader.option("maxFilesPerTrigger", max_files).parquet(source)
     query = (
@@ -36,4 +36,3 @@ def land_new_files(
         .start(landing)
     )
     query.awaitTermination()
-    return sum(progress["numInputRows"] for progress in query.recentProgress)
