@@ -28,17 +28,17 @@ def build_spec(*parts: Column) -> Column:
 
 def spec_parts(spec: Column) -> Column:
     """Fields of a spec as an array: inner empty fields stay, trailing empty ones go."""
-    return F.split(F.regexp_replace(spec, f"{SPEC_SEPARATOR}+$", ""), SPEC_SEPARATOR)
+    return F.split(F.rtrim(spec, F.lit(SPEC_SEPARATOR)), SPEC_SEPARATOR)
 
 
-def spec_part(spec: Column, field: str) -> Column:
-    """One field by name; null where the spec is too short to hold it."""
-    return F.get(spec_parts(spec), F.lit(SPEC_FIELDS.index(field)))
+def spec_part(parts: Column, field: str) -> Column:
+    """One field of a spec by name; null where the spec is too short to hold it."""
+    return F.get(parts, F.lit(SPEC_FIELDS.index(field)))
 
 
-def job_name(spec: Column) -> Column:
-    """The first four fields identify a job."""
-    return F.array_join(F.slice(spec_parts(spec), 1, 4), SPEC_SEPARATOR)
+def job_name(parts: Column) -> Column:
+    """The first four fields of a spec identify a job."""
+    return F.array_join(F.slice(parts, 1, 4), SPEC_SEPARATOR)
 
 
 def connect_string(db_type: Column, server: Column, database: Column) -> Column:

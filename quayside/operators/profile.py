@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,22 +43,38 @@ def whole_number_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, WHOLE_NUMBERS)]
 
 
-def column_profile(df: DataFrame, table: str, columns: list[str] | None = None) -> DataFrame:
-    """Rows, nulls, distinct values, minimum and maximum of each whole-number column.
+def column_profile(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows, nulls, distinct values, minimum and maximum of each table's whole-number columns.
 
-    The columns are stacked to (column, value) pairs and equal pairs are merged before the
-    shuffle, so neither a long column nor a hot value ends up in one task.
+    All columns are stacked to (column, value) pairs and equal pairs are merged before the
+    one shuffle, so neither a long column nor a hot value ends up in one task. Columns go by
+    number until the end, which keeps the pairs small.
     """
+    names, stacked = [], []
+    for table, df in tables.items():
+        columns = whole_number_columns(df)
+        if columns:
+            values = F.array(*(F.col(c).cast("long") for c in columns))
+            pairs = df.select(F.posexplode(values).alias("_no", "value"))
+            stacked.append(pairs.withColumn("_no", F.col("_no") + len(names)))
+            names += [(table, c) for c in columns]
+    named = F.array(
+        *(F.struct(F.lit(t).alias("table_name"), F.lit(c).alias("column_name")) for t, c in names)
+    )
     return (
-        _stacked(df, columns or whole_number_columns(df))
-        .groupBy(F.lit(table).alias("table_name"), "column_name")
+        reduce(DataFrame.unionByName, stacked)
+        .groupBy("_no", "value")
+        .count()
+        .groupBy("_no")
         .agg(
-            F.count("*").alias("n_rows"),
-            F.count_if(F.col("value").isNull()).alias("n_nulls"),
-            F.countDistinct("value").alias("n_distinct"),
+            F.sum("count").alias("n_rows"),
+            F.sum(F.when(F.col("value").isNull(), F.col("count")).otherwise(0)).alias("n_nulls"),
+            F.count("value").alias("n_distinct"),
             F.min("value").alias("lo"),
             F.max("value").alias("hi"),
         )
+        .withColumn("_name", F.get(named, "_no"))
+        .select("_name.*", "n_rows", "n_nulls", "n_distinct", "lo", "hi")
     )
 
 
@@ -88,13 +106,3 @@ def find_key(df: DataFrame) -> tuple[str, int] | None:
 
 def _is_unique(df: DataFrame, column: str) -> bool:
     return df.groupBy(column).count().where("count > 1").isEmpty()
-
-
-def _stacked(df: DataFrame, columns: list[str]) -> DataFrame:
-    pairs = F.array(
-        *(
-            F.struct(F.lit(c).alias("column_name"), F.col(c).cast("long").alias("value"))
-            for c in columns
-        )
-    )
-    return df.select(F.explode(pairs).alias("_p")).select("_p.*")

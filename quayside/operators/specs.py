@@ -15,16 +15,14 @@ def parse_specs(df: DataFrame, spec: str, incremental: bool = True) -> DataFrame
     a plain one needs six, and its check column and last value are empty. The number of
     mappers must be a whole number either way.
     """
-    parts = naming.spec_parts(F.col(spec))
-    named = df.withColumn("_parts", parts)
-    for position, field in enumerate(naming.SPEC_FIELDS):
-        value = F.get("_parts", F.lit(position))
-        if not incremental and field in ("check_col", "last_val"):
-            value = F.when(F.col("_parts").isNotNull(), F.lit(""))
-        named = named.withColumn(field, value)
+    parts = F.col("_parts")
+    fields = {field: naming.spec_part(parts, field) for field in naming.SPEC_FIELDS}
+    if not incremental:
+        fields |= {field: F.when(parts.isNotNull(), F.lit("")) for field in ("check_col", "last_val")}
+    error = _spec_error(F.size(parts), fields["mappers"], incremental)
     return (
-        named.withColumn("job_name", naming.job_name(F.col(spec)))
-        .withColumn("spec_error", _spec_error(F.size("_parts"), incremental))
+        df.withColumn("_parts", naming.spec_parts(F.col(spec)))
+        .withColumns({**fields, "job_name": naming.job_name(parts), "spec_error": error})
         .drop("_parts")
     )
 
@@ -52,7 +50,7 @@ def describe_jobs(specs: DataFrame, landing_root: str) -> DataFrame:
     )
 
 
-def _spec_error(n_fields: Column, incremental: bool) -> Column:
+def _spec_error(n_fields: Column, mappers: Column, incremental: bool) -> Column:
     if incremental:
         wrong_size = n_fields != len(naming.SPEC_FIELDS)
         expected = f"expected {len(naming.SPEC_FIELDS)} fields"
@@ -62,5 +60,5 @@ def _spec_error(n_fields: Column, incremental: bool) -> Column:
     return (
         F.when(n_fields.isNull() | (n_fields < 0), F.lit("no spec"))
         .when(wrong_size, F.concat(F.lit(f"{expected}, found "), n_fields))
-        .when(F.expr("try_cast(mappers AS int)").isNull(), F.lit("mappers is not a number"))
+        .when(mappers.try_cast("int").isNull(), F.lit("mappers is not a number"))
     )

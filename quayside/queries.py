@@ -278,8 +278,7 @@ def split_report(spark, sf_dir):
     )
 )
 def key_profile(spark, sf_dir):
-    profiles = (profile.column_profile(table(spark, sf_dir, name), name) for name in WHOLE_NUMBERS)
-    return reduce(DataFrame.unionByName, profiles)
+    return profile.column_profile({name: table(spark, sf_dir, name) for name in WHOLE_NUMBERS})
 
 
 @query(

@@ -29,12 +29,10 @@ def test_split_report_of_nothing(spark):
 
 def test_column_profile(spark):
     df = spark.createDataFrame([(1, 5, "a"), (2, 5, "b"), (3, None, "c")], "id int, n bigint, s string")
-    assert rows(profile.column_profile(df, "t")) == [
-        ("t", "id", 3, 0, 3, 1, 3),
-        ("t", "n", 3, 1, 1, 5, 5),
-    ]
-    keys = profile.column_profile(df, "t").where(profile.is_key(profile.column_profile(df, "t")))
-    assert [r["column_name"] for r in keys.collect()] == ["id"]
+    text = spark.createDataFrame([("a",)], "s string")
+    found = profile.column_profile({"t": df, "u": df.limit(0), "text": text})
+    assert rows(found) == [("t", "id", 3, 0, 3, 1, 3), ("t", "n", 3, 1, 1, 5, 5)]
+    assert [r["column_name"] for r in found.where(profile.is_key(found)).collect()] == ["id"]
 
 
 @pytest.mark.parametrize(

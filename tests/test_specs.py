@@ -77,5 +77,5 @@ def test_names_and_connections_both_ways(spark):
 
 def test_spec_part_by_name(spark):
     df = spark.createDataFrame([(GOOD,), ("mysql:h",)], "spec string")
-    out = df.select(naming.spec_part(F.col("spec"), "table"))
+    out = df.select(naming.spec_part(naming.spec_parts(F.col("spec")), "table"))
     assert rows(out) == [("testtable",), (None,)]
