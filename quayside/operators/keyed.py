@@ -49,8 +49,13 @@ def insert(df: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def missing_from(rows: DataFrame, df: DataFrame, keys: list[str]) -> DataFrame:
-    """The rows whose key is new to `df`."""
-    return rows.join(distinct_keys(df, keys), keys, "left_anti")
+    """The rows whose key is new to `df`.
+
+    `df` is first filtered down to the keys in question, so a few rows against a large
+    table cost one read of its keys and no shuffle of them.
+    """
+    known = df.select(*keys).join(distinct_keys(rows, keys), keys, "left_semi")
+    return rows.join(distinct_keys(known, keys), keys, "left_anti")
 
 
 def insert_if_absent(df: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:

@@ -20,11 +20,11 @@ from quayside.operators.specs import good_specs, parse_specs, rejected_specs
 from quayside.plans import load
 from quayside.plans.registry import Registry, spec_of
 from quayside.plans.runs import Event, RunLog, new_run_id
-from quayside.sources.databases import JdbcDatabase, ParquetDatabase
+from quayside.sources.databases import JdbcDatabase, LakeDatabase
 
 log = logging.getLogger(__name__)
 
-Database = ParquetDatabase | JdbcDatabase
+Database = LakeDatabase | JdbcDatabase
 
 
 @dataclass(frozen=True)

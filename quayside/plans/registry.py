@@ -228,7 +228,8 @@ class Registry:
 
 
 def spec_of(job: Row) -> dict[str, str]:
-    """The eight fields of a stored job."""
-    names = (job["job_name"].split(naming.SPEC_SEPARATOR) + [""] * 4)[:4]
-    values = [*names, job["split_by"], job["mappers"], job["check_col"], job["last_val"]]
+    """The eight fields of a stored job, each from its own column."""
+    db_type = job["job_name"].split(naming.SPEC_SEPARATOR, 1)[0]
+    place = [db_type, job["server"], job["database"], job["table_name"]]
+    values = [*place, job["split_by"], job["mappers"], job["check_col"], job["last_val"]]
     return dict(zip(naming.SPEC_FIELDS, values, strict=True))

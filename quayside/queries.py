@@ -652,6 +652,6 @@ def _intake(spark: SparkSession, sf_dir: str) -> Intake:
         spark,
         Registry(spark, f"{root}/registry", f"{root}/landing"),
         RunLog(spark, f"{root}/runs"),
-        lambda db_type, server, database: ParquetDatabase(spark, sf_dir, database),
+        lambda db_type, server, database: ParquetDatabase(spark, database, sf_dir),
         f"{root}/target",
     )

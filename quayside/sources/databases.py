@@ -1,4 +1,4 @@
-"""Databases to import from: a folder of Parquet tables, or any JDBC database."""
+"""Databases to import from: Parquet folders, Spark's catalogue, or anything behind JDBC."""
 
 from __future__ import annotations
 
@@ -20,31 +20,33 @@ COLUMNS_SCHEMA = f"{TABLES_SCHEMA}, column_name string, extra string, last_val s
 
 
 @dataclass
-class ParquetDatabase:
-    """A folder with one Parquet file or directory per table."""
+class LakeDatabase:
+    """Tables that Spark reads as files. Subclasses say which there are and how to open one."""
 
     spark: SparkSession
-    root: str
     name: str
-    suffix: str = ".parquet"
 
     def table_names(self) -> list[str]:
-        names = child_names(self.spark, self.root)
-        return [n.removesuffix(self.suffix) for n in names if n.endswith(self.suffix)]
+        raise NotImplementedError
 
     def table(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{table}{self.suffix}")
+        raise NotImplementedError
 
     def schema(self, table: str) -> T.StructType:
         return self.table(table).schema
 
     def catalogue(self) -> tuple[DataFrame, DataFrame]:
-        """Tables and key columns. Parquet marks no key, so one is looked for in the rows."""
+        """Tables and key columns. Files mark no key, so one is looked for in the rows."""
         mark = AUTO_KEY_MARK.strip("%")
-        tables = [(self.name, table) for table in self.table_names()]
+        names = self.table_names()
         with ThreadPoolExecutor(GROUP_SIZE) as pool:
-            found = list(pool.map(lambda t: (t[1], find_key(self.table(t[1]))), tables))
-        keys = [(self.name, table, k[0], mark, str(k[1] - 1)) for table, k in found if k]
+            found = pool.map(lambda name: find_key(self.table(name)), names)
+        keys = [
+            (self.name, name, key[0], mark, str(key[1] - 1))
+            for name, key in zip(names, found, strict=True)
+            if key is not None
+        ]
+        tables = [(self.name, name) for name in names]
         return (
             self.spark.createDataFrame(tables, TABLES_SCHEMA),
             self.spark.createDataFrame(keys, COLUMNS_SCHEMA),
@@ -64,12 +66,39 @@ class ParquetDatabase:
     ) -> DataFrame:
         """The whole table, or with a check column the rows in (last, high].
 
-        Parquet splits by itself; split column and mappers matter to JDBC only.
+        Files split by themselves; split column and mappers matter to JDBC only.
         """
         df = self.table(table)
         return increment(df, check_col, last, high) if check_col else df
 
 
+@dataclass
+class ParquetDatabase(LakeDatabase):
+    """A folder with one Parquet file or directory per table."""
+
+    root: str
+    suffix: str = ".parquet"
+
+    def table_names(self) -> list[str]:
+        names = child_names(self.spark, self.root)
+        return [n.removesuffix(self.suffix) for n in names if n.endswith(self.suffix)]
+
+    def table(self, table: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/{table}{self.suffix}")
+
+
+@dataclass
+class CatalogDatabase(LakeDatabase):
+    """The tables of a database in Spark's own catalogue."""
+
+    def table_names(self) -> list[str]:
+        tables = self.spark.catalog.listTables(self.name)
+        return sorted(t.name for t in tables if not t.isTemporary)
+
+    def table(self, table: str) -> DataFrame:
+        return self.spark.table(f"`{self.name}`.`{table}`")
+
+
 @dataclass
 class JdbcDatabase:
     """A database behind a JDBC url. `options` holds driver, user, password, fetchsize …"""
@@ -79,6 +108,11 @@ class JdbcDatabase:
     name: str
     options: dict[str, str] = field(default_factory=dict)
 
+    @classmethod
+    def at(cls, spark: SparkSession, db_type: str, server: str, database: str, **options: str):
+        """The database a job spec names."""
+        return cls(spark, f"jdbc:{db_type}://{server}/{database}", database, options)
+
     def _reader(self):
         return self.spark.read.format("jdbc").option("url", self.url).options(**self.options)
 

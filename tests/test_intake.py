@@ -22,7 +22,7 @@ class Shop:
             spark,
             Registry(spark, f"{root}/registry", f"{root}/landing"),
             RunLog(spark, f"{root}/runs"),
-            lambda db_type, server, name: ParquetDatabase(spark, self.source, name),
+            lambda db_type, server, name: ParquetDatabase(spark, name, self.source),
             f"{root}/target",
         )
 

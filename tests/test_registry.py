@@ -47,6 +47,15 @@ def test_created_job_reads_back(spark, registry):
     assert registry.search_jobs(server="elsewhere").count() == 0
 
 
+def test_a_port_stays_with_its_server(spark, registry):
+    df = specs(spark, "mysql:host:db:t:id:4:id:0").withColumn("server", F.lit("host:3306"))
+    registry.create(df)
+    spec = spec_of(registry.jobs().join(registry.specs(), "job_name").first())
+    assert (spec["db_type"], spec["server"], spec["database"], spec["table"]) == (
+        "mysql", "host:3306", "db", "t",
+    )
+
+
 def test_ids_join_properties_to_jobs(spark, registry):
     registry.create(specs(spark, f"{NAME}:id:4:id:0"))
     job_id, found = registry.exists(NAME)

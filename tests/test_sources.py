@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 from conftest import rows
 from quayside.sources import datasets
-from quayside.sources.databases import JdbcDatabase, ParquetDatabase
+from quayside.sources.databases import CatalogDatabase, JdbcDatabase, ParquetDatabase
 from quayside.sources.incremental import high_mark, increment
 
 
@@ -44,13 +44,13 @@ def test_nothing_new(spark):
 
 
 def test_both_bounds_reach_the_scan(spark, sf_dir):
-    df = ParquetDatabase(spark, sf_dir, "sf").read("orders", check_col="o_orderkey", last="10", high="90")
+    df = ParquetDatabase(spark, "sf", sf_dir).read("orders", check_col="o_orderkey", last="10", high="90")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(o_orderkey,10)" in plan and "LessThanOrEqual(o_orderkey,90)" in plan
 
 
 def test_parquet_database(spark, sf_dir):
-    database = ParquetDatabase(spark, sf_dir, "sf")
+    database = ParquetDatabase(spark, "sf", sf_dir)
     assert "orders" in database.table_names()
     assert database.schema("region").names == ["r_regionkey", "r_name"]
     tables, columns = database.catalogue()
@@ -60,6 +60,23 @@ def test_parquet_database(spark, sf_dir):
     assert "lineitem" not in keys
 
 
+def test_catalog_database(spark, database):
+    spark.sql(f"CREATE DATABASE {database}")
+    spark.range(3, 9).write.saveAsTable(f"{database}.a")
+    spark.range(3).selectExpr("'x' AS s").write.saveAsTable(f"{database}.b")
+    lake = CatalogDatabase(spark, database)
+    assert lake.table_names() == ["a", "b"]
+    assert rows(lake.catalogue()[1]) == [(database, "a", "id", "auto_increment", "2")]
+    assert lake.high_mark("a", "id", "4") == "8"
+    assert rows(lake.read("a", check_col="id", last="6", high="8")) == [(7,), (8,)]
+
+
+def test_jdbc_database_of_a_spec(spark):
+    database = JdbcDatabase.at(spark, "mysql", "host:3306", "shop", user="u")
+    assert (database.url, database.name) == ("jdbc:mysql://host:3306/shop", "shop")
+    assert database.options == {"user": "u"}
+
+
 class FakeReader:
     """Stands in for spark.read of a JDBC database: notes the options, gives fixed frames."""
 
