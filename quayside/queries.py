@@ -9,8 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quayside.functions import clock
 from quayside.functions import text as texts
-from quayside.functions.naming import connect_string, landing_path
+from quayside.functions.naming import (
+    config_key,
+    connect_string,
+    environment_key,
+    job_name_of_connection,
+    landing_path,
+)
 from quayside.operators import groups, keyed, profile, runlog, schema
 from quayside.operators.discovery import discover_specs
 from quayside.operators.specs import parse_specs
@@ -74,8 +81,9 @@ def _union_all(parts) -> str:
 
 @query("select * from orders")
 def full_import(spark, sf_dir):
-    landing = new_dir(spark, "landing")
-    load.land(table(spark, sf_dir, "orders"), landing)
+    """A source with upper-case names; the landed table has lower-case ones."""
+    landing, orders = new_dir(spark, "landing"), table(spark, sf_dir, "orders")
+    load.land(orders.toDF(*(c.upper() for c in orders.columns)), landing)
     return datasets.open_landing(spark, landing)
 
 
@@ -319,7 +327,8 @@ _SPEC = (
     "case when pr = '2-HIGH' then 'expected 8 fields, found 7' "
     "when pr = '1-URGENT' then 'mappers is not a number' end as spec_error, "
     "'jdbc:' || p[1] || '://' || p[2] || '/' || p[3] as connect_string, "
-    "'/data/lz/' || p[2] || '/' || p[3] || '/' || p[4] as target_dir from s"
+    "'/data/lz/' || p[2] || '/' || p[3] || '/' || p[4] as target_dir, "
+    "concat_ws(':', p[1], p[2], p[3], p[4]) as name_again from s"
 )
 def spec_parse(spark, sf_dir):
     specs = table(spark, sf_dir, "orders").select("o_orderkey", F.expr(_SPEC).alias("spec"))
@@ -328,13 +337,55 @@ def spec_parse(spark, sf_dir):
         parse_specs(specs, "spec")
         .withColumn("connect_string", connect_string(F.col("db_type"), *place))
         .withColumn("target_dir", landing_path(load.LANDING_ROOT, *place, F.col("table")))
+        .withColumn("name_again", job_name_of_connection(F.col("connect_string"), F.col("table")))
         .drop("spec")
     )
 
 
+@query(
+    "select doc_id, lower(concat_ws('.', lang, source, 'Doc.' || doc_id, 'username')) as config_key, "
+    "upper(concat_ws('_', lang, replace(replace(source || '-a.b', '.', '_'), '-', '_'), "
+    "'Doc.' || doc_id, 'usr')) as environment_key from documents"
+)
+def setting_keys(spark, sf_dir):
+    """Names under which a database's user would be looked up."""
+    kind, place = F.col("lang"), F.concat("source", F.lit("-a.b"))
+    name = F.concat(F.lit("Doc."), "doc_id")
+    return table(spark, sf_dir, "documents").select(
+        "doc_id",
+        config_key(kind, F.col("source"), name, "username").alias("config_key"),
+        environment_key(kind, place, name, "usr").alias("environment_key"),
+    )
+
+
+@query(
+    "select event_id, strftime(ts, '%d-%m-%Y %H:%M:%S') as shown, "
+    "date_trunc('second', ts)::timestamp as read_back from events"
+)
+def display_times(spark, sf_dir):
+    shown = table(spark, sf_dir, "events").select(
+        "event_id", clock.to_display(F.col("ts")).alias("shown")
+    )
+    read_back = clock.from_display(F.col("shown")).cast("timestamp_ntz")
+    return shown.withColumn("read_back", read_back)
+
+
 # Keyed tables
 
 
+@query(
+    "select 'c' || c_custkey as row_key, c_name as name from customer "
+    "union all select 's' || s_suppkey, s_name from supplier"
+)
+def insert_rows(spark, sf_dir):
+    customer = table(spark, sf_dir, "customer")
+    supplier = table(spark, sf_dir, "supplier")
+    return keyed.insert(
+        customer.select(F.concat(F.lit("c"), "c_custkey").alias("row_key"), F.col("c_name").alias("name")),
+        supplier.select(F.col("s_name").alias("name"), F.concat(F.lit("s"), "s_suppkey").alias("row_key")),
+    )
+
+
 @query("select * from events where event_type = 'error' and user_id = 13")
 def optional_search(spark, sf_dir):
     events = table(spark, sf_dir, "events")
@@ -450,6 +501,22 @@ def property_read(spark, sf_dir):
     )
 
 
+@query(
+    "select c_custkey, c_name as name, cast(c_nationkey as varchar) as nation, "
+    "null::varchar as segment from customer"
+)
+def property_class(spark, sf_dir):
+    """Properties of two classes written, those of one read back."""
+    customer, key = table(spark, sf_dir, "customer"), ["c_custkey"]
+    options = {"name": F.col("c_name"), "nation": F.col("c_nationkey")}
+    config = {"name": F.lit("not this"), "segment": F.col("c_mktsegment")}
+    stored = keyed.stack_properties(customer, key, options, "options").unionByName(
+        keyed.stack_properties(customer, key, config, "config")
+    )
+    names = {"name": "name", "nation": "nation", "segment": "segment"}
+    return keyed.read_properties(stored, key, names, prop_class="options")
+
+
 @query(
     "select c_custkey, c_name, o_orderkey, o_totalprice from customer join orders "
     "on c_custkey = o_custkey"
@@ -552,6 +619,29 @@ def phase_reconcile(spark, sf_dir):
     return runlog.reconcile(orders, with_lines, ["o_orderpriority"])
 
 
+@query(
+    f"with e as (select *, {_PHASE} as phase, {_STATUS} as status from events), "
+    "r as (select user_id, event_type, max(ts) as last_at, cast(last(event_id order by ts, event_id) "
+    "filter (phase = 'load' and status = 'FINISHED') as varchar) as mark from e group by all) "
+    "select cast(user_id as varchar) as job_name, arg_max(mark, last_at) as last_val from r "
+    "where mark is not null group by user_id"
+)
+def last_marks(spark, sf_dir):
+    """A user is a job, its events of one type are a run, an event's id is the mark."""
+    events = table(spark, sf_dir, "events")
+    return runlog.last_marks(
+        events.select(
+            F.col("user_id").cast("string").alias("job_name"),
+            F.col("event_type").alias("run_id"),
+            F.expr(_PHASE).alias("phase"),
+            F.expr(_STATUS).alias("status"),
+            F.col("ts").alias("at"),
+            F.col("event_id").alias("step"),
+            F.col("event_id").cast("string").alias("mark"),
+        )
+    )
+
+
 # Groups of neighbouring rows
 
 
@@ -609,6 +699,23 @@ def initialise_database(spark, sf_dir):
     return keyed.with_children(jobs, specs, ["job_name"])
 
 
+@query("select * from orders")
+def resume_import(spark, sf_dir):
+    """A job run twice; its second run goes on from the last value its first run reached."""
+    orders = table(spark, sf_dir, "orders")
+    low, top = profile.split_bounds(orders, "o_orderkey") or (0, 0)
+    earlier = new_dir(spark, "source")
+    orders.where(F.col("o_orderkey") <= (low + top) // 2).write.parquet(f"{earlier}/orders.parquet")
+    intake, database = _intake(spark, earlier), _fresh_database(spark)
+    job = f"parquet:local:{database}:orders"
+    spec = f"{job}:o_orderkey:4:o_orderkey:{low - 1}"
+    intake.create_jobs(spark.createDataFrame([(spec,)], "input string"))
+    for folder in (earlier, sf_dir):
+        intake.connect = lambda db_type, server, name, at=folder: ParquetDatabase(spark, name, at)
+        intake.run_table(job)
+    return spark.table(f"{database}.orders")
+
+
 @query(
     _union_all(
         f"(select '{name}' as table_name, count(*) as n_rows, count(*) as landed, "
@@ -619,17 +726,12 @@ def initialise_database(spark, sf_dir):
 )
 def import_database(spark, sf_dir):
     """Every enabled table imported; rows found in its target and counted by its run."""
-    intake = _intake(spark, sf_dir)
-    intake.initialise("parquet", "local", intake_database := _fresh_database(spark))
-    intake.run_database(intake_database)
-    names = [
-        row["table_name"]
-        for row in intake.registry.search_jobs(database=intake_database, enabled=True)
-        .select("table_name")
-        .toLocalIterator()
-    ]
+    intake, database = _intake(spark, sf_dir), _fresh_database(spark)
+    intake.initialise("parquet", "local", database)
+    outcomes = intake.run_database(database)
+    names = [outcome.job_name.rsplit(":", 1)[1] for outcome in outcomes]
     counts = (
-        spark.table(f"`{intake_database}`.`{name}`").agg(
+        spark.table(f"{database}.{name}").agg(
             F.lit(name).alias("table_name"), F.count("*").alias("n_rows")
         )
         for name in names

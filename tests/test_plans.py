@@ -14,7 +14,8 @@ def plan_of(df):
 LAZY = [
     name
     for name in entry.queries()
-    if name not in {"import_database", "initialise_database", "evolve_load", "stream_import"}
+    if name
+    not in {"import_database", "initialise_database", "resume_import", "evolve_load", "stream_import"}
 ]
 
 
