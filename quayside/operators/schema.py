@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from quayside.errors import SchemaConflict
 from quayside.functions.clock import epoch_millis
+from quayside.session import small_frame
 
 # The only types that widen, narrow to wide.
 WIDENINGS = {
@@ -94,7 +95,7 @@ def diff_schemas(source: T.StructType, target: T.StructType) -> list[tuple[str,
 def schema_diff(source: DataFrame, target: DataFrame) -> DataFrame:
     """`diff_schemas` of two frames, as a frame."""
     rows = diff_schemas(source.schema, target.schema)
-    return source.sparkSession.createDataFrame(rows, DIFF_SCHEMA)
+    return small_frame(source.sparkSession, rows, DIFF_SCHEMA)
 
 
 def values_per_field(df: DataFrame) -> DataFrame:

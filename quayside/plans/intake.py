@@ -20,6 +20,7 @@ from quayside.operators.specs import good_specs, parse_specs, rejected_specs
 from quayside.plans import load
 from quayside.plans.registry import Registry, spec_of
 from quayside.plans.runs import Event, RunLog, new_run_id
+from quayside.session import small_frame
 from quayside.sources.databases import JdbcDatabase, LakeDatabase
 
 log = logging.getLogger(__name__)
@@ -161,7 +162,7 @@ class Intake:
     def _save_marks(self, outcomes: list[Outcome]) -> None:
         marks = [(o.job_name, o.mark) for o in outcomes if o.error is None and o.mark is not None]
         if marks:
-            rows = self.spark.createDataFrame(marks, "job_name string, last_val string")
+            rows = small_frame(self.spark, marks, "job_name string, last_val string")
             self.registry.save_marks(rows)
 
 

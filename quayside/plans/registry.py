@@ -15,7 +15,7 @@ from quayside.functions import naming
 from quayside.operators import keyed
 from quayside.operators.specs import describe_jobs
 from quayside.plans.load import CODEC, LAYOUT
-from quayside.session import child_names, path_exists
+from quayside.session import child_names, path_exists, small_frame
 
 JOBS_SCHEMA = (
     "id bigint, job_type string, job_name string, server string, database string, "
@@ -167,7 +167,7 @@ class Registry:
 
     def delete(self, job_name: str) -> tuple[int, int]:
         """Delete a job and its properties; the number of each that went."""
-        doomed = self.spark.createDataFrame([(job_name,)], "job_name string")
+        doomed = small_frame(self.spark, [(job_name,)], "job_name string")
         kept_props, gone_props = keyed.delete(self.props(), doomed, JOB_KEY)
         kept_jobs, gone_jobs = keyed.delete(self.jobs(), doomed, JOB_KEY)
         counts = gone_jobs.count(), gone_props.count()
@@ -177,7 +177,7 @@ class Registry:
 
     def delete_property(self, job_name: str, prop_name: str) -> int:
         key = [(job_name, prop_name)]
-        doomed = self.spark.createDataFrame(key, "job_name string, prop_name string")
+        doomed = small_frame(self.spark, key, "job_name string, prop_name string")
         kept, gone = keyed.delete(self.props(), doomed, PROP_KEY)
         n_gone = gone.count()
         self._write_props(kept)
@@ -220,7 +220,7 @@ class Registry:
             path = f"{self.root}/{table}/{version}"
             if path_exists(self.spark, f"{path}/_SUCCESS"):
                 return self.spark.read.schema(schema).parquet(path)
-        return self.spark.createDataFrame([], schema)
+        return small_frame(self.spark, [], schema)
 
     def _write(self, table: str, df: DataFrame) -> None:
         number = len(child_names(self.spark, f"{self.root}/{table}")) + 1

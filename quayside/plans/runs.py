@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quayside.operators import runlog
 from quayside.operators.keyed import search
-from quayside.session import path_exists, write_json_lines
+from quayside.session import path_exists, small_frame, write_json_lines
 
 
 @dataclass(frozen=True)
@@ -54,7 +54,7 @@ class RunLog:
     def events(self, job_name: str | None = None) -> DataFrame:
         path = self.root if job_name is None else self._folder(job_name)
         if not path_exists(self.spark, path):
-            return self.spark.createDataFrame([], runlog.EVENT_SCHEMA)
+            return small_frame(self.spark, [], runlog.EVENT_SCHEMA)
         reader = self.spark.read.schema(runlog.EVENT_SCHEMA).option("recursiveFileLookup", "true")
         return reader.json(path)
 

@@ -25,7 +25,7 @@ from quayside.plans import load
 from quayside.plans.intake import Intake, json_lines
 from quayside.plans.registry import Registry
 from quayside.plans.runs import RunLog
-from quayside.session import apply_settings, new_dir
+from quayside.session import apply_settings, new_dir, small_frame
 from quayside.sources import datasets
 from quayside.sources.databases import ParquetDatabase
 from quayside.sources.incremental import high_mark, increment
@@ -151,8 +151,8 @@ def load_counts(spark, sf_dir):
     loaded, landed = _land_and_load(
         spark, new_dir(spark, "load"), table(spark, sf_dir, "orders"), "orders", "o_orderkey"
     )
-    return spark.createDataFrame(
-        [(loaded.n_rows, landed.mark)], "n_rows bigint, last_value string"
+    return small_frame(
+        spark, [(loaded.n_rows, landed.mark)], "n_rows bigint, last_value string"
     )
 
 
@@ -709,7 +709,7 @@ def resume_import(spark, sf_dir):
     intake, database = _intake(spark, earlier), _fresh_database(spark)
     job = f"parquet:local:{database}:orders"
     spec = f"{job}:o_orderkey:4:o_orderkey:{low - 1}"
-    intake.create_jobs(spark.createDataFrame([(spec,)], "input string"))
+    intake.create_jobs(small_frame(spark, [(spec,)], "input string"))
     for folder in (earlier, sf_dir):
         intake.connect = lambda db_type, server, name, at=folder: ParquetDatabase(spark, name, at)
         intake.run_table(job)

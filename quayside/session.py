@@ -7,7 +7,9 @@ import tempfile
 import time
 import uuid
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from quayside.errors import QuaysideError
 
@@ -49,6 +51,17 @@ def new_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def small_frame(spark: SparkSession, rows: list[tuple], schema: str | T.StructType) -> DataFrame:
+    """A few driver values as a frame of known size, which joins can broadcast.
+
+    Through Arrow the values become a local relation; a plain list would become an RDD of
+    unknown size.
+    """
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    columns = {f.name: pa.array([row[i] for row in rows]) for i, f in enumerate(schema)}
+    return spark.createDataFrame(pa.table(columns), schema)
+
+
 def _filesystem(spark: SparkSession, path: str):
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from quayside.operators.discovery import AUTO_KEY_MARK
 from quayside.operators.groups import GROUP_SIZE
 from quayside.operators.profile import find_key
-from quayside.session import child_names
+from quayside.session import child_names, small_frame
 from quayside.sources.incremental import high_mark, increment
 
 TABLES_SCHEMA = "table_schema string, table_name string"
@@ -48,8 +48,8 @@ class LakeDatabase:
         ]
         tables = [(self.name, name) for name in names]
         return (
-            self.spark.createDataFrame(tables, TABLES_SCHEMA),
-            self.spark.createDataFrame(keys, COLUMNS_SCHEMA),
+            small_frame(self.spark, tables, TABLES_SCHEMA),
+            small_frame(self.spark, keys, COLUMNS_SCHEMA),
         )
 
     def high_mark(self, table: str, check_col: str, last: str | None) -> str | None:

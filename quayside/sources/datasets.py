@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.functions.text import join_escaped, split_escaped, text_to_null
-from quayside.session import path_exists
+from quayside.session import path_exists, small_frame
 
 log = logging.getLogger(__name__)
 
@@ -32,7 +32,7 @@ def create_dataset(
 ) -> DataFrame:
     """The dataset at a path; an empty one of that schema and format is made if missing."""
     if not path_exists(spark, path):
-        spark.createDataFrame([], schema).write.format(data_format).save(path)
+        small_frame(spark, [], schema).write.format(data_format).save(path)
     return spark.read.format(data_format).schema(schema).load(path)
 
 
@@ -43,7 +43,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """
     if not path_exists(spark, path):
         log.warning("No input directory found: %s", path)
-        return spark.createDataFrame([], schema)
+        return small_frame(spark, [], schema)
     return spark.read.schema(schema).option("mode", "FAILFAST").csv(path)
 
 
