@@ -55,7 +55,9 @@ class Intake:
 
     def initialise(self, db_type: str, server: str, database: str) -> DataFrame:
         """Register a job for each table that has none yet; the specs refused come back."""
-        tables, columns = self.connect(db_type, server, database).catalogue()
+        jobs = self.registry.search_jobs(server=server, database=database)
+        known = {row["table_name"] for row in jobs.select("table_name").collect()}
+        tables, columns = self.connect(db_type, server, database).catalogue(known)
         specs = discover_specs(tables, columns, db_type, server, database)
         return self.create_jobs(specs)
 

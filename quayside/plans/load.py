@@ -46,13 +46,14 @@ def land(df: DataFrame, path: str, check_col: str | None = None) -> Landed:
     Rows are counted as they are written, in the write's own stage. Landing the same path
     again replaces it, so a run that failed can start over.
     """
-    batch = drop_all_delimiters(normalise(df))
     seen = Observation()
     mark = F.max(check_col.lower()) if check_col else F.lit(None)
-    counted = batch.observe(
+    # Observed before cleaning, so the mark is a value the source knows.
+    counted = normalise(df).observe(
         seen, F.count(F.lit(1)).alias("n_rows"), mark.cast("string").alias("mark")
     )
-    counted.write.mode("overwrite").option("compression", CODEC).parquet(path)
+    batch = drop_all_delimiters(counted)
+    batch.write.mode("overwrite").option("compression", CODEC).parquet(path)
     return Landed(seen.get["n_rows"], seen.get["mark"])
 
 
@@ -74,6 +75,8 @@ def ensure_target(
         known = _last_schema(spark, path)
         if known is not None:
             wanted = merge_schemas(wanted, known)
+        if wanted != known:
+            _log_schema(spark, path, wanted)
         _create(spark, name, path, wanted)
     return name
 
@@ -84,21 +87,20 @@ def evolve_target(spark: SparkSession, name: str, path: str, source: T.StructTyp
     New fields are added in place. A wider type cannot be set in place on a Parquet table,
     so the table is dropped and made again over the same files, which are not touched: a
     narrow file reads as the wide type. The merged schema is logged next to the files
-    first, so a driver lost in between loses nothing.
+    first, so a driver lost before the table is back loses nothing.
     """
     target = spark.table(name).schema
     actions = {action for *_, action in diff_schemas(source, target)}
     if not actions & {"added", "widened"}:
         return False
     merged = merge_schemas(source, target)
+    _log_schema(spark, path, merged)
     if "widened" in actions:
-        _log_schema(spark, path, merged)
         spark.sql(f"DROP TABLE {name}")
         _create(spark, name, path, merged)
     else:
         added = T.StructType([f for f in merged if f.name not in target.names])
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({added.toDDL()})")
-        _log_schema(spark, path, merged)
     return True
 
 
@@ -145,7 +147,6 @@ def _create(spark: SparkSession, name: str, path: str, schema: T.StructType) ->
         description=schema[0].metadata.get("comment"),
         recursiveFileLookup="true",
     )
-    _log_schema(spark, path, schema)
 
 
 def _log_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:

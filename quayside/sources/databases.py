@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -18,6 +19,9 @@ from quayside.sources.incremental import high_mark, increment
 TABLES_SCHEMA = "table_schema string, table_name string"
 COLUMNS_SCHEMA = f"{TABLES_SCHEMA}, column_name string, extra string, last_val string"
 
+# Rows a JDBC read keeps in memory at a time, unless the caller says otherwise.
+FETCH_SIZE = "10000"
+
 
 @dataclass
 class LakeDatabase:
@@ -35,10 +39,11 @@ class LakeDatabase:
     def schema(self, table: str) -> T.StructType:
         return self.table(table).schema
 
-    def catalogue(self) -> tuple[DataFrame, DataFrame]:
-        """Tables and key columns. Files mark no key, so one is looked for in the rows."""
+    def catalogue(self, known: Collection[str] = ()) -> tuple[DataFrame, DataFrame]:
+        """Tables not known yet and their key columns. Files mark no key, so one is looked
+        for in the rows; known tables are not read again."""
         mark = AUTO_KEY_MARK.strip("%")
-        names = self.table_names()
+        names = [name for name in self.table_names() if name not in known]
         with ThreadPoolExecutor(GROUP_SIZE) as pool:
             found = pool.map(lambda name: find_key(self.table(name)), names)
         keys = [
@@ -114,10 +119,17 @@ class JdbcDatabase:
         return cls(spark, f"jdbc:{db_type}://{server}/{database}", database, options)
 
     def _reader(self):
-        return self.spark.read.format("jdbc").option("url", self.url).options(**self.options)
+        options = {"fetchsize": FETCH_SIZE, **self.options}
+        if self._is_mysql():
+            # Without a cursor its driver holds a whole result in memory.
+            options = {"useCursorFetch": "true", **options}
+        return self.spark.read.format("jdbc").option("url", self.url).options(**options)
+
+    def _is_mysql(self) -> bool:
+        return self.url.startswith("jdbc:mysql:")
 
     def _quoted(self, name: str) -> str:
-        quote = "`" if self.url.startswith("jdbc:mysql:") else '"'
+        quote = "`" if self._is_mysql() else '"'
         return quote + name.replace(quote, quote * 2) + quote
 
     def table(self, table: str) -> DataFrame:
@@ -127,8 +139,8 @@ class JdbcDatabase:
         """Column names and types; Spark asks for them without reading rows."""
         return self.table(table).schema
 
-    def catalogue(self) -> tuple[DataFrame, DataFrame]:
-        """Tables and columns from the information schema. The filter on the database is a
+    def catalogue(self, known: Collection[str] = ()) -> tuple[DataFrame, DataFrame]:
+        """All tables and columns from the information schema. The filter on the database is a
         column expression, which Spark quotes and pushes down."""
         here = F.col("table_schema") == self.name
 

@@ -45,12 +45,18 @@ def shop(spark, tmp_path, database):
     return Shop(spark, str(tmp_path), database)
 
 
-def test_initialise_adds_only_new_tables(shop):
+def test_initialise_adds_only_new_tables(shop, monkeypatch):
     shop.put("a", [(1, 5), (2, 5)], "id bigint, n int")
     shop.put("b", [(7,), (7,)], "n int")
     assert shop.initialise().count() == 0
     shop.put("c", [(1,)], "id int")
+    looked_at = []
+    table = ParquetDatabase.table
+    monkeypatch.setattr(
+        ParquetDatabase, "table", lambda self, name: looked_at.append(name) or table(self, name)
+    )
     shop.initialise()
+    assert looked_at == ["c"]
     jobs = shop.intake.registry.jobs().select("table_name", "enabled")
     assert rows(jobs) == [("a", True), ("b", False), ("c", True)]
     assert shop.intake.list_jobs(shop.database).count() == 3

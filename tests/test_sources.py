@@ -134,6 +134,7 @@ def test_jdbc_split_read_options(spark):
         "SELECT MIN(`id`) AS lo, MAX(`id`) AS hi FROM `t` WHERE `id` > 1 AND `id` <= 5"
     )
     read = calls[-1]
+    assert (read["fetchsize"], read["useCursorFetch"]) == ("10000", "true")
     assert (read["dbtable"], read["user"], read["url"]) == ("`t`", "u", "jdbc:mysql://host/db")
     assert (read["partitionColumn"], read["lowerBound"], read["upperBound"], read["numPartitions"]) == (
         "id", "1", "5", "4",
