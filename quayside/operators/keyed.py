@@ -30,7 +30,14 @@ def is_empty(df: DataFrame) -> bool:
 
 
 def distinct_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.select(*keys).distinct()
+    """Each key once, combined before the shuffle.
+
+    Spark splits the hot keys of a join only where both sides come straight from a shuffle
+    made for it. Grouping by the key's hash as well leaves the keys partitioned by more than
+    the join asks for, so a join too large to broadcast shuffles these few keys once more
+    and can then split a hot key of the other side.
+    """
+    return df.select(*keys, F.xxhash64(*keys).alias("_hash")).distinct().select(*keys)
 
 
 def with_found(df: DataFrame, keyed: DataFrame, keys: list[str]) -> DataFrame:

@@ -3,8 +3,10 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from quayside.operators import keyed
 
 
 def plan_of(df):
@@ -72,3 +74,43 @@ def test_rows_are_windowed_by_slice(spark, sf_dir, name):
     # The one window over a whole key sees one row per slice, made by an aggregate.
     (over_counts,) = [by for what, by, _ in windows if "sum(_n#" in what]
     assert "," not in over_counts
+
+
+SKEW_SETTINGS = {
+    "spark.sql.shuffle.partitions": "64",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+}
+
+
+@pytest.fixture
+def skew_settings(spark):
+    before = {key: spark.conf.get(key, None) for key in SKEW_SETTINGS}
+    for key, value in SKEW_SETTINGS.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize(
+    "operate",
+    [
+        lambda df, keys: keyed.delete(df, keys, ["k"])[0],
+        lambda df, keys: keyed.delete(df, keys, ["k"])[1],
+        lambda df, keys: keyed.with_found(df, keys, ["k"]),
+        lambda df, keys: keyed.update(df, keys.withColumn("x", F.lit(0.0)), ["k"])[0],
+        lambda df, keys: keyed.with_children(keys, df, ["k"]),
+    ],
+    ids=["kept", "deleted", "found", "updated", "children"],
+)
+def test_joins_split_a_hot_key(spark, skew_settings, operate):
+    rows = spark.range(0, 200_000, 1, 8)
+    hot = F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id"))
+    df = rows.select(hot.alias("k"), F.rand(1).alias("x"))
+    keys = spark.range(-1, 1000, 2).withColumnRenamed("id", "k")
+    execution = operate(df, keys)._jdf.queryExecution()
+    execution.toRdd().count()
+    final = execution.executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "SortMergeJoin(skew=true)" in final
