@@ -20,7 +20,7 @@ from quayside.operators.specs import good_specs, parse_specs, rejected_specs
 from quayside.plans import load
 from quayside.plans.registry import Registry, spec_of
 from quayside.plans.runs import Event, RunLog, new_run_id
-from quayside.session import small_frame
+from quayside.session import apply_settings, small_frame
 from quayside.sources.databases import JdbcDatabase, LakeDatabase
 
 log = logging.getLogger(__name__)
@@ -44,7 +44,8 @@ class Intake:
     """Imports from databases into target tables.
 
     `connect` gives the database for (db_type, server, database), so credentials stay with
-    the caller.
+    the caller. The session's zone is pinned, so that a last value stored as text names the
+    same moment in every session.
     """
 
     spark: SparkSession
@@ -53,6 +54,9 @@ class Intake:
     connect: Callable[[str, str, str], Database]
     target_root: str = load.TARGET_ROOT
 
+    def __post_init__(self):
+        apply_settings(self.spark)
+
     def initialise(self, db_type: str, server: str, database: str) -> DataFrame:
         """Register a job for each table that has none yet; the specs refused come back."""
         jobs = self.registry.search_jobs(server=server, database=database)

@@ -89,6 +89,18 @@ def test_runs_pick_up_where_the_last_one_stopped(shop):
     assert {(r["import_status"], r["load_status"]) for r in runs} == {("FINISHED", "FINISHED")}
 
 
+def test_moments_as_marks_do_not_depend_on_the_session_zone(spark, shop):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    shop = Shop(spark, shop.root, shop.database)
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    moments = spark.sql("SELECT timestamp'2024-01-01 00:00:00.5 UTC' + make_dt_interval(id) AS at FROM range(3)")
+    moments.write.parquet(f"{shop.source}/a.parquet")
+    spec = (shop.job("a") + "::4:at:2024-01-01",)
+    shop.intake.create_jobs(spark.createDataFrame([spec], "input string"))
+    assert shop.intake.run_table(shop.job("a")).mark == "2024-01-03 00:00:00.5"
+    assert shop.intake.run_table(shop.job("a")).n_rows == 0
+
+
 def test_without_a_check_column_the_whole_table_comes(spark, shop):
     shop.put("a", [(1,), (1,)], "n int")
     shop.intake.create_jobs(spark.createDataFrame([(shop.job("a") + "::4::0",)], "input string"))
