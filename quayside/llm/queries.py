@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from quayside.llm import jaccard, mixing, pieces, quality, secret_scan, sharding, token_counts, top_k
+from quayside.llm import jaccard, licenses, mixing, pieces, ppm, quality, secret_scan, sharding, token_counts, top_k
 from quayside.llm.tables import read
 from quayside.session import apply_settings
 
@@ -36,12 +36,20 @@ def op5_sentencepiece(spark, sf_dir):
     return pieces.digests(read(apply_settings(spark), sf_dir, "documents"), public_tokenizers.path(MODEL))
 
 
+def op6_license_scans(spark, sf_dir):
+    return licenses.scan(read(apply_settings(spark), sf_dir, "documents"))
+
+
 def op7_token_counts(spark, sf_dir):
     docs = read(apply_settings(spark), sf_dir, "documents")
     counts = token_counts.lengths(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
     return token_counts.totals(counts)
 
 
+def op8_ppm_scoring(spark, sf_dir):
+    return ppm.score(read(apply_settings(spark), sf_dir, "documents"))
+
+
 def op9_sharding(spark, sf_dir):
     return sharding.shard(read(apply_settings(spark), sf_dir, "documents"))
 
@@ -61,7 +69,9 @@ QUERIES = {
         op3_ngram_jaccard_join,
         op4_quality_rules,
         op5_sentencepiece,
+        op6_license_scans,
         op7_token_counts,
+        op8_ppm_scoring,
         op9_sharding,
         op10_source_mixing,
     )

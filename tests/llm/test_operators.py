@@ -14,7 +14,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quayside.llm import jaccard, mixing, pieces, quality, secret_scan, sharding, token_counts, top_k
+from quayside.llm import jaccard, licenses, mixing, pieces, ppm, quality, secret_scan, sharding, token_counts, top_k
 from quayside.llm.queries import MODEL, QUERIES, RANKS
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -318,3 +318,79 @@ def test_pipeline_stages(spark, docs, sf_dir):
         now = stage(spark, now, sf_dir)
         assert now.columns == columns or k == len(corpus_pipeline.STAGES) - 1
     assert {x["doc_id"] for x in local(now)} <= {x["doc_id"] for x in local(docs)}
+
+
+def test_license_notices(docs):
+    got = local(licenses.scan(docs))
+    plain = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
+
+    def holds(text, notice):
+        n = len(notice)
+        gram, step = min(5, n), max(1, n // 4)
+        own = {tuple(notice[i : i + gram]) for i in range(n - gram + 1)}
+        for start in range(0, len(text), step):
+            part = text[start : start + n + step - 1]
+            if 100 * len(own & {tuple(part[i : i + gram]) for i in range(len(part) - gram + 1)}) >= 75 * len(own):
+                return True
+        return False
+
+    want = [
+        (d["doc_id"], ",".join(sorted({n for n, t in licenses.NOTICES if holds(plain(d["text"]), plain(t))})))
+        for d in local(docs)
+    ]
+    assert sorted(map(str, want)) == sorted(str((x["doc_id"], x["licenses"])) for x in got)
+
+
+def test_license_with_a_changed_word(spark):
+    text = "x y z This work is licenced under the GNU General Public License, version 3. And so on"
+    long = "Permission is hereby granted, free of charge, to any human obtaining a copy of this software"
+    got = local(licenses.scan(spark.createDataFrame([(1, text), (2, long), (3, "rights reserved all")], "doc_id long, text string")))
+    # Of 9 shingles a changed word in the middle spares 4 or 5, near an end it spares 7 of 9.
+    assert {x["doc_id"]: x["licenses"] for x in got} == {1: "", 2: "", 3: ""}
+
+
+def plain_ppm(train, text):
+    """log10 probability of a text, byte by byte, with explicit exclusion sets."""
+    counts = defaultdict(Counter)
+    for t in train:
+        s = [0] * ppm.ORDER + list(t.encode()) + [ppm.END]
+        for i in range(ppm.ORDER, len(s)):
+            for k in range(ppm.ORDER + 1):
+                counts[tuple(s[i - k : i])][s[i]] += 1
+    s, total = [0] * ppm.ORDER + list(text.encode()) + [ppm.END], 0.0
+    for i in range(ppm.ORDER, len(s)):
+        out = set()
+        for k in range(ppm.ORDER, -1, -1):
+            left = {c: n for c, n in counts[tuple(s[i - k : i])].items() if c not in out}
+            if s[i] in left:
+                total += math.log10(left[s[i]] / (sum(left.values()) + len(left)))
+                break
+            if left:
+                total += math.log10(len(left) / (sum(left.values()) + len(left)))
+            out |= set(left)
+        else:
+            total -= math.log10(257 - len(out))
+    return total
+
+
+def test_ppm_scores(docs):
+    rows = local(docs)
+    if len(rows) > 100:
+        keep = {d["doc_id"] for d in sorted(rows, key=lambda d: len(d["text"]))[:60]}
+        docs, rows = docs.where(F.col("doc_id").isin(list(keep))), [d for d in rows if d["doc_id"] in keep]
+    out = lambda d: d["doc_id"] is not None and zlib.crc32(str(d["doc_id"]).encode()) % 7 == 2
+    lower = lambda t: [w.encode().lower() for w in words(t)]
+    train = [d["text"] or "" for d in rows if not out(d)]
+    seen = Counter(w for t in train for w in lower(t) + [None])
+    n, v = sum(seen.values()), len(seen)
+    want = []
+    for d in rows:
+        tokens = lower(d["text"]) + [None]
+        base = sum(math.log10((seen[w] + 1) / (n + v + 1)) for w in tokens)
+        known = sum(seen[w] > 0 for w in tokens)
+        want.append((str(d["doc_id"]), out(d), len(tokens), known, n, base, plain_ppm(train, d["text"] or "")))
+    for sent in (ppm.SENT_ENTRIES, 0):
+        got = sorted(((str(x["doc_id"]), *list(x.values())[1:]) for x in local(ppm.score(docs, sent=sent))))
+        for a, b in zip(got, sorted(want), strict=True):
+            assert a[:5] == b[:5]
+            assert a[5:] == pytest.approx(b[5:], rel=1e-5)
