@@ -28,6 +28,9 @@ from quayside.llm.tables import whole_text, written
 from quayside.llm.word_hashes import shingle_hashes, slices, text_bytes, word_hashes
 
 PERCENT = 75
+# Prefixes are longer by n // SPARE than one common shingle needs: similar sets then share more
+# than n // SPARE of theirs, n being the smaller size, and pairs that share fewer are no candidates.
+SPARE = 32
 # The most frequent shingles that are put last. Any order gives the same links; this one keeps
 # lists short, and the number bounds what each task is sent (16 bytes each).
 ORDERED = 1 << 17
@@ -124,7 +127,7 @@ def _prefixes(tokens: np.ndarray, counts: np.ndarray):
                 hashes, n = sets[i], len(sets[i])
                 rank = ranks[at : at + n]
                 at += n
-                length = n - (PERCENT * n + 99) // 100 + 1
+                length = n - (PERCENT * n + 99) // 100 + 1 + n // SPARE
                 first = np.argsort(rank, kind="stable")[:length] if rank.any() else slice(0, length)
                 prefix, rank = hashes[first], rank[first]
                 group = int(mix(mix(prefix).sum(dtype=np.uint64)[None] + np.uint64(n)).view(np.int64)[0])
@@ -268,7 +271,13 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.col("group_id").alias("b_group"), F.col("n").alias("b_n"),
     ).where(F.col("a_group").isNotNull() & _in_reach("a_n", "b_n")).where(
         (F.col("a_group") != F.col("b_group")) | (F.col("a_n") != F.col("b_n"))
-    ).distinct()
+    )
+    # The first turn may leave pairs out, as the second sees all that are still apart.
+    often = 2 + F.floor(F.least("a_n", "b_n") / (4 * SPARE))
+    neighbours = (
+        neighbours.groupBy(*neighbours.columns).agg(F.count("*").alias("times"))
+        .where((F.col("times") >= often) | (F.least("a_n", "b_n") < SPARE))
+    )
     head = lambda x: heads.select(
         F.col("group_id").alias(f"{x}_group"), F.col("n").alias(f"{x}_n"), F.col("set_id").alias(x)
     )
@@ -315,8 +324,10 @@ def _apart(index: DataFrame, placed: DataFrame) -> DataFrame:
     several = placed.withColumn(
         "members", F.count("*").over(Window.partitionBy("group_id", "n"))
     ).where("members > 1")
-    listed = index.select("token", "group_id", "n").join(placed, ["group_id", "n"]).select("token", "set_id", "n", "class")
-    grouped = several.select(F.col("group_id").alias("token"), "set_id", "n", "class")
+    listed = index.select("token", "group_id", "n").join(placed, ["group_id", "n"]).select(
+        "token", "set_id", "n", "class", F.lit(False).alias("grouped")
+    )
+    grouped = several.select(F.col("group_id").alias("token"), "set_id", "n", "class", F.lit(True).alias("grouped"))
     units = written(listed.unionByName(grouped).distinct(), "units")
     mixed = written(
         units.groupBy("token")
@@ -335,7 +346,7 @@ def _apart(index: DataFrame, placed: DataFrame) -> DataFrame:
     )
     units = written(units.join(main, "token").withColumn("is_main", F.col("class") == F.col("main")).drop("main"), "flagged")
     one = units.where("not is_main").select(
-        "token", F.col("set_id").alias("a"), F.col("n").alias("a_n"), F.col("class").alias("a_class")
+        "token", F.col("set_id").alias("a"), F.col("n").alias("a_n"), F.col("class").alias("a_class"), "grouped"
     )
     other = units.select(
         "token", F.col("set_id").alias("b"), F.col("n").alias("b_n"), F.col("class").alias("b_class"), "is_main"
@@ -346,7 +357,10 @@ def _apart(index: DataFrame, placed: DataFrame) -> DataFrame:
         & _in_reach("a_n", "b_n")
         & _in_reach("b_n", "a_n")
     )
-    return meet.select("a", "a_n", "b", "b_n").distinct()
+    # Members of one group have their whole prefix in common.
+    shared = meet.groupBy("a", "a_n", "b", "b_n").agg(F.count("*").alias("lists"), F.max("grouped").alias("grouped"))
+    enough = F.col("lists") > F.floor(F.least("a_n", "b_n") / SPARE)
+    return shared.where(enough | F.col("grouped")).select("a", "a_n", "b", "b_n")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
