@@ -81,7 +81,7 @@ ORACLE_SQL = {
     "op1_exact_top_k": """
         with v as (
             select row_number() over () as row, vec_id,
-                   list_transform(embedding, x -> floor(1024 * x::double)) as q
+                   list_transform(embedding, lambda x: floor(1024 * x::double)) as q
             from embeddings where embedding is not null
         ), s as (
             select a.row, a.vec_id as query_id, b.vec_id,
