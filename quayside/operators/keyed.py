@@ -65,15 +65,26 @@ def missing_from(rows: DataFrame, df: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(distinct_keys(known, keys), keys, "left_anti")
 
 
-def insert_if_absent(df: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
-    return insert(df, missing_from(rows, df, keys))
+def insert_if_absent(
+    df: DataFrame, rows: DataFrame, keys: list[str], order: list[str] | None = None
+) -> DataFrame:
+    """`df` with the rows whose key is new; of rows that share one the first by `order` goes in.
+
+    Without an order any one of them does.
+    """
+    new = missing_from(rows, df, keys)
+    return insert(df, first_per_key(new, keys, order) if order else new.dropDuplicates(keys))
 
 
-def update(df: DataFrame, updates: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+def update(
+    df: DataFrame, updates: DataFrame, keys: list[str], order: list[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
     """`df` with matched rows replaced, and the updates that matched nothing.
 
-    `updates` holds one row per key and the columns to replace.
+    `updates` holds the columns to replace. Of updates that share a key the last by `order`
+    counts, without an order any one, so no row of `df` is ever doubled.
     """
+    updates = latest_per_key(updates, keys, order) if order else updates.dropDuplicates(keys)
     changed = [name for name in updates.columns if name not in keys]
     new = updates.select(*keys, F.struct(*changed).alias("_new"))
     joined = df.join(new, keys, "left")
@@ -107,12 +118,12 @@ def delete_cascade(
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The last row of each key by `order`, which must tell all rows of a key apart."""
+    """The last row of each key by `order`, which must tell all rows of a key apart; nulls come first."""
     return _one_per_key(df, keys, order, F.max_by)
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The first row of each key by `order`, which must tell all rows of a key apart."""
+    """The first row of each key by `order`, which must tell all rows of a key apart; nulls come last."""
     return _one_per_key(df, keys, order, F.min_by)
 
 
@@ -184,17 +195,28 @@ def read_properties(
     )
 
 
-def _order_value(order: list[str]) -> Column:
-    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+def _order_value(order: list[str], nulls_first: bool = True) -> Column:
+    """One value to compare rows by; in structs a flag places the nulls."""
+    if len(order) == 1:
+        return F.col(order[0])
+    flag = Column.isNotNull if nulls_first else Column.isNull
+    return F.struct(*(x for i, name in enumerate(order) for x in (flag(F.col(name)).alias(f"f{i}"), F.col(name).alias(f"v{i}"))))
 
 
 def _one_per_key(df: DataFrame, keys: list[str], order: list[str], pick) -> DataFrame:
     # One aggregate per column, not one over a struct: fixed-width columns then stay in
     # the hash aggregate. Rows are combined before the shuffle, so a hot key is no task's load.
     others = [name for name in df.columns if name not in keys]
-    by = _order_value(order)
+    by = _order_value(order, pick is F.max_by)
+    # A single order column that is null in all rows of a key picks none: any one row then
+    # stands for the key, the same in every column.
+    picked = (
+        (lambda name: F.when(F.count(by) > 0, pick(name, by)).otherwise(F.first(name)))
+        if len(order) == 1
+        else (lambda name: pick(name, by))
+    )
     return (
         df.groupBy(*keys)
-        .agg(*(pick(name, by).alias(name) for name in others))
+        .agg(*(picked(name).alias(name) for name in others))
         .select(*df.columns)
     )

@@ -14,8 +14,9 @@ from quayside.functions.clock import epoch_millis
 from quayside.session import small_frame
 
 # The only types that widen, narrow to wide.
+_WHOLE = (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType())
 WIDENINGS = {
-    (T.IntegerType(), T.LongType()): T.LongType(),
+    **{(a, b): b for i, a in enumerate(_WHOLE) for b in _WHOLE[i + 1 :]},
     (T.FloatType(), T.DoubleType()): T.DoubleType(),
 }
 

@@ -118,11 +118,12 @@ def stream_import(spark, sf_dir):
     return datasets.open_landing(spark, landing)
 
 
-@query("select * from customer")
+@query("select * from documents")
 def csv_import(spark, sf_dir):
-    customer, path = table(spark, sf_dir, "customer"), new_dir(spark, "csv")
-    datasets.write_csv(customer, path)
-    return datasets.read_csv(spark, path, customer.schema)
+    """Texts with line breaks, quotes and outer blanks."""
+    documents, path = table(spark, sf_dir, "documents"), new_dir(spark, "csv")
+    datasets.write_csv(documents, path)
+    return datasets.read_csv(spark, path, documents.schema)
 
 
 @query(

@@ -36,19 +36,29 @@ def create_dataset(
     return spark.read.format(data_format).schema(schema).load(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+# Quotes inside a field are doubled, and blanks around it belong to it.
+CSV_OPTIONS = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True
+) -> DataFrame:
     """A directory of CSV text without a header; the schema names the columns, empty text is null.
 
-    A missing directory is no error: it is logged, and gives no rows.
+    Fields may hold line breaks. Each file is then read by one task; where no field does,
+    `multi_line=False` lets large files be split. A missing directory is no error: it is
+    logged, and gives no rows.
     """
     if not path_exists(spark, path):
         log.warning("No input directory found: %s", path)
         return small_frame(spark, [], schema)
-    return spark.read.schema(schema).option("mode", "FAILFAST").csv(path)
+    reader = spark.read.schema(schema).options(mode="FAILFAST", multiLine=multi_line, **CSV_OPTIONS)
+    return reader.option("lineSep", "\n").csv(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.csv(path)
+def write_csv(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
+    """CSV text that `read_csv` gives back exactly, but for empty text, which it reads as null."""
+    df.write.options(maxRecordsPerFile=rows_per_file, lineSep="\n", **CSV_OPTIONS).csv(path)
 
 
 def read_escaped(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -23,10 +23,16 @@ def land_new_files(
     checkpoint: str,
     name_filter: str = "*.parquet",
     max_files: int = 1000,
+    max_file_age: str = "36500d",
 ) -> None:
-    """Land new Parquet files of `source`, at most `max_files` per batch."""
+    """Land new Parquet files of `source`, at most `max_files` per batch.
+
+    Files count as new whatever their time stamp, so copies that keep old times are landed. The
+    checkpoint then remembers every file landed; where files older than some age cannot appear
+    any more, a shorter `max_file_age` keeps that list small, but skips older files unseen.
+    """
     reader = spark.readStream.schema(schema).option("pathGlobFilter", name_filter)
-    files = reader.option("maxFilesPerTrigger", max_files).parquet(source)
+    files = reader.options(maxFilesPerTrigger=max_files, maxFileAge=max_file_age).parquet(source)
     query = (
         drop_all_delimiters(normalise(files))
         .writeStream.format("parquet")

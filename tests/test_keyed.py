@@ -114,3 +114,16 @@ def test_stack_then_read_gives_the_row_back(spark):
         stacked.unionByName(other), ["k"], {"name": "s", "size": "n"}, prop_class="options"
     )
     assert rows(back) == [(1, "x", "5"), (2, None, "6")]
+
+
+def test_repeated_keys_and_null_orders(spark):
+    target = spark.createDataFrame([(1, "old")], "id int, v string")
+    batch = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "c"), (2, 2, "d")], "id int, o int, v string")
+    updated, missing = keyed.update(target, batch, ["id"], ["o"])
+    assert rows(updated) == [(1, "b")]
+    assert rows(missing.select("id", "v")) == [(2, "d")]
+    wide = target.select("id", F.lit(0).alias("o"), "v")
+    assert rows(keyed.insert_if_absent(wide, batch, ["id"], ["o"])) == [(1, 0, "old"), (2, 1, "c")]
+    dirty = spark.createDataFrame([(1, None, "a"), (2, None, "b"), (2, 5, "c")], "id int, o int, v string")
+    assert rows(keyed.latest_per_key(dirty, ["id"], ["o"])) == [(1, None, "a"), (2, 5, "c")]
+    assert rows(keyed.first_per_key(dirty, ["id"], ["o", "v"])) == [(1, None, "a"), (2, 5, "c")]

@@ -190,3 +190,12 @@ def test_missing_csv_directory_only_warns(spark, tmp_path, caplog):
     schema = T.StructType.fromDDL("a int")
     assert datasets.read_csv(spark, str(tmp_path / "none"), schema).count() == 0
     assert "No input directory found" in caplog.text
+
+
+def test_csv_keeps_line_breaks_and_blanks(spark, tmp_path):
+    from quayside.sources import datasets
+
+    frame = spark.createDataFrame([(1, 'a\n5,b"x"'), (2, "  pad\\ "), (3, None), (4, "\r\n")], "id int, t string")
+    datasets.write_csv(frame, str(tmp_path / "csv"))
+    back = datasets.read_csv(spark, str(tmp_path / "csv"), frame.schema)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, frame.collect()))
