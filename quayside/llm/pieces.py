@@ -24,8 +24,8 @@ from quayside.llm.tables import whole_text
 
 SPACE = "▁"
 LONG_WORD = 256  # longer words merge one by one through a heap, in n log n steps
-CACHED_WORDS = 400_000
-BATCH_TEXT = 1 << 23  # characters laid out at once
+CACHED_WORDS = 250_000
+BATCH_TEXT = 1 << 21  # characters laid out at once
 NEVER = np.int32(2**31 - 1)
 
 
