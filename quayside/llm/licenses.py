@@ -48,7 +48,10 @@ def _shingles(tokens: str, gram: int):
 
 
 def _bands(shingles):
-    return F.array(*(F.array_min(F.transform(shingles, lambda s, b=b: F.xxhash64(s, F.lit(b)))) for b in range(BANDS)))
+    def least(band: int):
+        return F.array_min(F.transform(shingles, lambda s: F.xxhash64(s, F.lit(band))))
+
+    return F.array(*(least(band) for band in range(BANDS)))
 
 
 def scan(docs: DataFrame, notices=NOTICES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
