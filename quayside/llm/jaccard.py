@@ -5,12 +5,14 @@ and two similar sets share one among their first ones (the prefix). Sets with th
 and size form one group, which stands in the index once. A set is named by a 64-bit hash of its
 shingles together with its size.
 
-Candidates are found in two turns. First, each list of the index links neighbours in size
-order: that suffices to connect families of near copies, in as many pairs as the lists have
-entries. Then only what is still apart meets: within a list that holds several components,
+Candidates are found in turns. First, each list of the index links neighbours in size
+order: that suffices to connect most families of near copies, in as many pairs as the lists have
+entries. While many entries of the lists are still apart, neighbours in random orders follow,
+again in no more pairs than entries. Last, only what is still apart meets: within a list that holds several components,
 members outside the largest one meet all others. A pair left out has both ends in one component
-already, so no class is lost and families do not meet in all pairs. Every pair is verified
-on the whole sets.
+already, so no class is lost and families do not meet in all pairs. Sets of given sizes must
+share a number of prefix shingles, so a set with many rare ones need look only into the few
+shortest of its lists, or none. Every pair is verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -39,6 +41,14 @@ COUNTED = 1 << 22  # shingles counted together within a task
 LIST_PART = 4096  # entries of a known long list that are put in order together
 SKETCH_BITS = 1 << 25  # of the filter that keeps sets nobody asks for from being sent
 BITMAP = 32_768  # bits in one of Spark's bitmaps
+# Families in which only some pairs are similar are put together before all that is apart meets.
+MORE_TURNS = 1  # at most so many more turns of neighbours; a second one found hardly any links
+CROWD = 32  # ... while an entry of a mixed list would meet more than so many on average
+SMALL_LIST = 16  # lists with no more entries outside the main class are left to the last turn
+ORDERS = 4  # random orders of a turn
+# In the last turn a set looks into as many of its shortest lists as similar sets must share one
+# of, and so many more; they must then share so many more, too.
+MORE_LISTS = 2
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, list[np.ndarray]]]:
@@ -127,7 +137,7 @@ def _prefixes(tokens: np.ndarray, counts: np.ndarray):
                 hashes, n = sets[i], len(sets[i])
                 rank = ranks[at : at + n]
                 at += n
-                length = n - (PERCENT * n + 99) // 100 + 1 + n // SPARE
+                length = _prefix_length(n)
                 first = np.argsort(rank, kind="stable")[:length] if rank.any() else slice(0, length)
                 prefix, rank = hashes[first], rank[first]
                 group = int(mix(mix(prefix).sum(dtype=np.uint64)[None] + np.uint64(n)).view(np.int64)[0])
@@ -136,7 +146,8 @@ def _prefixes(tokens: np.ndarray, counts: np.ndarray):
                     continue
                 groups.add((group, n))
                 split = np.where(rank > 0, parts[rank - 1], 1) if len(parts) else np.ones(len(rank), np.uint64)
-                salt = (mix(prefix ^ np.uint64(group & (2**64 - 1))) % split.astype(np.uint64)).astype(np.int32)
+                part = (mix(prefix ^ np.uint64(group & (2**64 - 1))) % split.astype(np.uint64)).astype(np.int32)
+                salt = np.where(split > 1, part + 1, 0).astype(np.int32)  # 0: the list is whole
                 out.append((int(names[i]), n, group, prefix.view(np.int64), salt))
             columns = list(zip(*out, strict=True))
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()))
@@ -212,6 +223,23 @@ def _classes(links: DataFrame) -> DataFrame:
     )
 
 
+def _prefix_length(n):
+    """Of sets of n shingles."""
+    return n - (PERCENT * n + 99) // 100 + 1 + n // SPARE
+
+
+def _least_shared(left, right):
+    """How many prefix shingles two similar sets of these sizes have in common at least.
+
+    Similar sets share at least PERCENT * (left + right) / (100 + PERCENT) shingles. Of the set
+    whose prefix ends first in the global order, prefix shingles that the other set has are in
+    the other's prefix, so those not shared there are lost; only the rest can make up for them.
+    """
+    spared = lambda n: F.lit(1) + F.floor(n / SPARE) - F.ceil(PERCENT * n / 100)
+    common = F.ceil(PERCENT * (left + right) / (100 + PERCENT))
+    return F.least(spared(left), spared(right)) + common
+
+
 def _in_reach(small: str, large: str):
     return 100 * F.col(small) >= PERCENT * F.col(large)
 
@@ -291,15 +319,35 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             within.select(F.col("before").alias("a"), F.col("n").alias("a_n"), F.col("set_id").alias("b"), F.col("n").alias("b_n"))
         ),
     )
-    together = written(_classes(turn_one), "classes")
-    placed = written(
-        members.join(together, ["set_id", "n"], "left").withColumn(
-            "class", F.coalesce("class", F.struct(F.col("n").alias("n"), F.col("set_id").alias("id")))
-        ),
-        "placed",
+    links, together = turn_one, written(_classes(turn_one), "classes")
+    crowds = members.groupBy("group_id", "n").agg(F.count("*").alias("members")).where("members > 1")
+    entry = index.select("token", "group_id", "n").distinct()
+    of_group = Window.partitionBy("group_id", "n")
+    units = (
+        entry.join(entry.groupBy("token").agg(F.count("*").alias("entries")), "token")
+        .withColumns(
+            {
+                "place": F.row_number().over(of_group.orderBy("entries", "token")),
+                "held": F.count("*").over(of_group).cast("int"),
+            }
+        )
+        .join(members, ["group_id", "n"])
+        .select("token", "set_id", "n", "place", "held", F.lit(False).alias("grouped"))
+        .unionByName(
+            members.join(crowds, ["group_id", "n"]).select(
+                F.col("group_id").alias("token"), "set_id", "n", F.lit(0).alias("place"), F.lit(0).alias("held"), F.lit(True).alias("grouped")
+            )
+        )
     )
-    turn_two = _verified(docs, _apart(index, placed).select(*sides))
-    ends = written(_classes(turn_one.unionByName(turn_two)), "classes")
+    mixed = _mixed(units, together)
+    for turn in range(MORE_TURNS):
+        if not _crowded(mixed):
+            break
+        links = links.unionByName(_verified(docs, _neighbours(mixed, turn)))
+        together = written(_classes(links), "classes")
+        mixed = _mixed(mixed.select(*units.columns), together)
+    turn_two = _verified(docs, _apart(mixed).select(*sides))
+    ends = written(_classes(links.unionByName(turn_two)), "classes")
     # Ids: of a set, of a class, and back to the rows.
     least = written(
         named.groupBy("set_id", "n").agg(F.min("doc_id").alias("least")), "least-ids"
@@ -319,48 +367,88 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
-def _apart(index: DataFrame, placed: DataFrame) -> DataFrame:
-    """Pairs of one list, or of one group, that are not yet in one class."""
-    several = placed.withColumn(
-        "members", F.count("*").over(Window.partitionBy("group_id", "n"))
-    ).where("members > 1")
-    listed = index.select("token", "group_id", "n").join(placed, ["group_id", "n"]).select(
-        "token", "set_id", "n", "class", F.lit(False).alias("grouped")
-    )
-    grouped = several.select(F.col("group_id").alias("token"), "set_id", "n", "class", F.lit(True).alias("grouped"))
-    units = written(listed.unionByName(grouped).distinct(), "units")
-    mixed = written(
-        units.groupBy("token")
-        .agg(F.min("class").alias("low"), F.max("class").alias("high"))
-        .where("low < high")
-        .select("token"),
-        "mixed-lists",
+def _mixed(units: DataFrame, together: DataFrame) -> DataFrame:
+    """Entries of lists that hold several classes: class, is_main, and the list's size and others.
+
+    A list's main class is its largest one; others are the entries outside it.
+    """
+    alone = F.struct(F.col("n").alias("n"), F.col("set_id").alias("id"))
+    units = written(
+        units.join(together, ["set_id", "n"], "left").withColumn("class", F.coalesce("class", alone)), "units"
     )
-    units = written(units.join(mixed, "token"), "mixed-units")
-    main = written(
+    largest = F.max(F.struct("entries", "class"))
+    main = (
         units.groupBy("token", "class")
-        .agg(F.count("*").alias("size"))
+        .agg(F.count("*").alias("entries"))
         .groupBy("token")
-        .agg(F.max_by("class", F.struct("size", "class")).alias("main")),
-        "main-classes",
+        .agg(largest["class"].alias("main"), F.sum("entries").alias("size"), (F.sum("entries") - F.max("entries")).alias("others"))
+        .where("others > 0")
+    )
+    flagged = units.join(written(main, "main-classes"), "token")
+    return written(flagged.withColumn("is_main", F.col("class") == F.col("main")).drop("main"), "mixed-units")
+
+
+def _crowded(mixed: DataFrame) -> bool:
+    """Whether entries would meet more than CROWD others on average if all that are apart met."""
+    meetings = F.sum(F.when(~F.col("is_main"), F.col("size")).otherwise(0))
+    found = mixed.agg(meetings.alias("meetings"), F.count("*").alias("entries")).first()
+    return found["entries"] > 0 and found["meetings"] > CROWD * found["entries"]
+
+
+def _neighbours(mixed: DataFrame, turn: int) -> DataFrame:
+    """Pairs of neighbours of different classes, in long mixed lists put in one of a few random orders.
+
+    Lists share their orders, so that most neighbours are the same ones in many lists.
+    """
+    part = F.pmod(F.xxhash64("set_id", F.lit(turn)), F.ceil(F.col("size") / LIST_PART))
+    order = F.xxhash64("set_id", F.pmod("token", F.lit(ORDERS)), F.lit(turn))
+    in_list = Window.partitionBy("token", "part").orderBy("order", "set_id", "n")
+    ends = F.struct("n", "set_id", "class")
+    pairs = (
+        mixed.where(F.col("others") > SMALL_LIST)
+        .withColumns({"part": part, "order": order})
+        .select("set_id", "n", "class", F.lag(ends).over(in_list).alias("before"))
+        .where("before is not null and before.class <> class")
+        .select(F.least(ends, "before").alias("a"), F.greatest(ends, "before").alias("b"))
+        .select(
+            F.col("a.set_id").alias("a"), F.col("a.n").alias("a_n"), F.col("b.set_id").alias("b"), F.col("b.n").alias("b_n")
+        )
     )
-    units = written(units.join(main, "token").withColumn("is_main", F.col("class") == F.col("main")).drop("main"), "flagged")
-    one = units.where("not is_main").select(
-        "token", F.col("set_id").alias("a"), F.col("n").alias("a_n"), F.col("class").alias("a_class"), "grouped"
+    return pairs.where(_in_reach("a_n", "b_n") & _in_reach("b_n", "a_n")).distinct()
+
+
+def _apart(units: DataFrame) -> DataFrame:
+    """Pairs of one list, or of one group, that are not yet in one class."""
+    side = lambda x, *more: units.select(
+        "token", F.struct("n", F.col("set_id").alias("id"), "class", "held", "place").alias(x), *more
     )
-    other = units.select(
-        "token", F.col("set_id").alias("b"), F.col("n").alias("b_n"), F.col("class").alias("b_class"), "is_main"
+    one = side("a", "is_main", "grouped").where("not is_main").drop("is_main")
+    a, b = F.col("a"), F.col("b")
+    name = lambda x: F.struct(x["n"], x["id"])
+    need = _least_shared(a["n"], b["n"])
+    # The side with fewer lists decides which of them count: its shortest ones.
+    by_a = F.struct(a["held"], a["n"], a["id"]) < F.struct(b["held"], b["n"], b["id"])
+    late = F.when(by_a, a["held"] - a["place"]).otherwise(b["held"] - b["place"])
+    listed = (late >= need - MORE_LISTS - 1) & (F.least(a["held"], b["held"]) >= need)
+    meet = one.join(side("b", "is_main"), "token").where(
+        (a["class"] != b["class"])
+        & (F.col("is_main") | (name(a) < name(b)))
+        & (100 * a["n"] >= PERCENT * b["n"])
+        & (100 * b["n"] >= PERCENT * a["n"])
+        & (F.col("grouped") | listed)
     )
-    meet = one.join(other, "token").where(
-        (F.col("a_class") != F.col("b_class"))
-        & (F.col("is_main") | (F.struct("a_n", "a") < F.struct("b_n", "b")))
-        & _in_reach("a_n", "b_n")
-        & _in_reach("b_n", "a_n")
+    # The same pair may have met either way round.
+    pair = (F.least(name(a), name(b)), F.greatest(name(a), name(b)))
+    shared = (
+        meet.select(pair[0].alias("a"), pair[1].alias("b"), "grouped")
+        .groupBy("a", "b")
+        .agg(F.count("*").alias("lists"), F.max("grouped").alias("grouped"))
     )
     # Members of one group have their whole prefix in common.
-    shared = meet.groupBy("a", "a_n", "b", "b_n").agg(F.count("*").alias("lists"), F.max("grouped").alias("grouped"))
-    enough = F.col("lists") > F.floor(F.least("a_n", "b_n") / SPARE)
-    return shared.where(enough | F.col("grouped")).select("a", "a_n", "b", "b_n")
+    enough = F.col("lists") >= F.least(F.lit(MORE_LISTS + 1), _least_shared(a["n"], b["n"]))
+    return shared.where(enough | F.col("grouped")).select(
+        a["id"].alias("a"), a["n"].alias("a_n"), b["id"].alias("b"), b["n"].alias("b_n")
+    )
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
