@@ -29,19 +29,23 @@ def _repeat_words(grams: Column) -> Column:
     """Words covered by windows that occur twice or more, from the hashes of all windows."""
     placed = F.array_sort(F.transform(grams, lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
 
-    def covered(pairs: Column) -> Column:
+    def repeated(pairs: Column) -> Column:
         twice = F.filter(
             pairs,
             lambda p, i: (p["g"] == F.get(pairs, i - 1)["g"]) | (p["g"] == F.get(pairs, i + 1)["g"]),
         )
-        places = F.array_sort(F.transform(twice, lambda p: p["i"]))
+        return F.array_sort(F.transform(twice, lambda p: p["i"]))
+
+    def covered(places: Column) -> Column:
         steps = F.transform(
             places, lambda at, i: F.least(F.lit(GRAM), F.coalesce(F.get(places, i + 1) - at, F.lit(GRAM)))
         )
         return F.aggregate(steps, F.lit(0).cast("long"), lambda total, step: total + step)
 
-    # `transform` over a single value names it, so that the sort is done once.
-    return F.transform(F.array(placed), covered)[0]
+    # `transform` over a single value names it: an inner lambda that refers to an expression
+    # would work it out anew for each element.
+    named = F.transform(F.array(placed), repeated)
+    return F.transform(named, covered)[0]
 
 
 def features(docs: DataFrame, text_col: str = "text") -> DataFrame:
