@@ -83,20 +83,28 @@ def scan(docs: DataFrame, notices=NOTICES, id_col: str = "doc_id", text_col: str
         stride = max(1, length // 4)
         size = length + stride - 1 - gram + 1  # shingles of a window
         hits = rows.where(F.col(f"s{gram}").isNotNull()).select("row", F.col(f"s{gram}").alias("s"))
-        placed = hits.select("row", "s", F.posexplode("s").alias("at", "hash"))
-        near = placed.where(F.col("hash").isin(wanted[gram])).select(
-            "row",
-            "s",
-            F.explode(
-                F.sequence(
-                    F.greatest(F.lit(0), F.ceil((F.col("at") - size + 1) / stride)).cast("int"),
-                    F.floor(F.col("at") / stride).cast("int"),
-                )
-            ).alias("window"),
+        at = F.filter(
+            F.sequence(F.lit(0), F.size("s") - 1), lambda i: F.get(F.col("s"), i).isin(wanted[gram])
+        )
+        near = F.transform(
+            at,
+            lambda i: F.sequence(
+                F.greatest(F.lit(0), F.ceil((i - size + 1) / stride)).cast("int"), F.floor(i / stride).cast("int")
+            ),
+        )
+        # Windows are cut out within the row, so that its whole list is copied for none of them.
+        cut = F.transform(
+            F.array_distinct(F.flatten(near)),
+            lambda w: F.struct(
+                w.alias("window"),
+                F.transform(
+                    F.sequence(w * stride, F.least(w * stride + size, F.size("s")) - 1), lambda i: F.get(F.col("s"), i)
+                ).alias("part"),
+            ),
         )
         windows = (
-            near.select("row", "window", F.slice("s", F.col("window") * stride + 1, F.lit(size)).alias("part"))
-            .dropDuplicates(["row", "window"])
+            hits.select("row", F.explode(cut).alias("x"))
+            .select("row", "x.window", "x.part")
             .select("row", "window", "part", F.posexplode(_bands(F.col("part"))).alias("band", "value"))
         )
         own = per_gram[gram].where(F.col("length") == length)
