@@ -1,19 +1,24 @@
 """Quality rules with thresholds whose false rejections are bounded with confidence.
 
 Every rule is a score that grows with badness. Labelled good documents are the holdout: for a
-rule, a stratum and a cutoff, the good documents above it are a binomial sample of its false
-rejections. A cutoff is safe if the exact binomial tail says that a risk over the limit would
-have shown so few only with a small chance. Cutoffs are tried from the mildest on and the
-first that is not safe ends the row (fixed-sequence testing), so the chance is shared only among
-rules and strata (Bonferroni).
+stratum and cutoffs of all rules, the good documents above any of them are a binomial sample of
+the false rejections of all rules together. Cutoffs are safe if the exact binomial tail says that
+a risk over the limit would have shown so few only with a small chance. One part of the good
+documents and the bad ones lay down in which order the rules' cutoffs are made stricter; the
+other part tests this path step by step, and the first step that is not safe ends it
+(fixed-sequence testing). So neither the risk nor the chance is split among rules; the chance is
+shared among strata only (Bonferroni), those with too few good documents standing as one pool.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.llm.tables import whole_text, words, written
+from quayside.session import small_frame
 
 GRAM = 5
 LEAST_WORDS = 10
@@ -22,6 +27,7 @@ RISK = 0.005  # of a good document of a stratum, by all rules together
 CONFIDENCE = 0.95  # that no limit is broken anywhere
 # Part of the labelled bad documents that a cutoff must catch to be worth its risk.
 LEAST_CATCH = 0.02
+ORDERING = 4  # one good document in so many orders the path, the others test it
 CUTOFFS = tuple(round(0.95 - 0.05 * i, 2) for i in range(19)) + (0.04, 0.03, 0.02)
 
 
@@ -115,6 +121,42 @@ def tail(errors: Column, trials: Column, risk: float) -> Column:
     return F.aggregate(steps, start, add, lambda state: F.least(F.lit(1.0), state["sum"]))
 
 
+def least_good(risk: float = RISK, confidence: float = CONFIDENCE, groups: int = 1) -> int:
+    """Tested good documents without which no cutoff can be safe, even if none is rejected."""
+    return math.ceil(math.log((1 - confidence) / groups) / math.log(1 - risk))
+
+
+def _own_strata(good: dict[str, int], risk: float, confidence: float) -> list[str]:
+    """Strata with enough good documents for cutoffs of their own, beside one pool of the others."""
+    order = sorted(good, key=lambda name: (-good[name], name))
+    fits = [m for m in range(len(order) + 1) if m == 0 or good[order[m - 1]] >= least_good(risk, confidence, m + 1)]
+    return order[: fits[-1]]
+
+
+def _path(names: list[str], good: dict, bad: dict) -> list[tuple[str, int]]:
+    """Rules and steps in the order in which they are tested: what catches most for its harm first.
+
+    `good` and `bad` hold documents by (rule, step); a step of a rule follows its milder ones.
+    """
+    all_good, all_bad = (sum(n for (name, _), n in x.items() if name == names[0]) for x in (good, bad))
+    at, path = dict.fromkeys(names, 0), []
+    while True:
+        best = None
+        for name in names:
+            harm = caught = 0
+            for step in range(at[name], len(CUTOFFS)):
+                more = bad.get((name, step), 0)
+                harm, caught = harm + good.get((name, step), 0), caught + more
+                # Milder cutoffs that catch as many bad documents are preferred.
+                if more and caught >= LEAST_CATCH * all_bad and caught * all_good > 10 * harm * all_bad:
+                    best = min(best or (math.inf,), (harm / caught, -caught, name, step))
+        if best is None:
+            return path
+        name, step = best[2:]
+        path += [(name, k) for k in range(at[name], step + 1)]
+        at[name] = step + 1
+
+
 def thresholds(scored: DataFrame, labels: DataFrame, risk: float = RISK, confidence: float = CONFIDENCE) -> DataFrame:
     """stratum, rule and cutoff for each rule and stratum that has a safe and useful cutoff.
 
@@ -122,50 +164,87 @@ def thresholds(scored: DataFrame, labels: DataFrame, risk: float = RISK, confide
     quality (1: good). Rows without an id, or with other labels, take no part; several labels
     of a document count as good if any does. Without labels there is no cutoff at all. Good
     documents above a cutoff are its false rejections; what the base rules reject counts too.
+    Bad documents that the base rules reject need no cutoff and do not count.
+
+    Strata with too few good documents, or none, share the cutoffs of a pool: of all such
+    strata together or, if these are too few as well, of all strata. The limit then holds for
+    a document of the pool, not for each of its strata.
     """
+    spark = scored.sparkSession
     known = (
         labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.max("quality").alias("quality"))
     )
     scores = rules()
-    named = F.array(*(F.struct(F.lit(name).alias("rule"), score.alias("score")) for name, score in scores.items()))
-    # Only cutoffs below the score count it as rejected: a histogram by cutoff comes first.
-    below = F.size(F.filter(F.array(*map(F.lit, CUTOFFS)), lambda c: F.col("score") <= c))
-    counts = (
+    # Only cutoffs below the score count it as rejected: the first of them is the rule's step.
+    below = lambda score: F.size(F.filter(F.array(*map(F.lit, CUTOFFS)), lambda c: score <= c))
+    part = F.when(F.col("quality") == 0, "bad").when(F.pmod(F.xxhash64("doc_id"), F.lit(ORDERING)) == 0, "order").otherwise("test")
+    labelled = written(
         scored.join(known, "doc_id")
-        .select("stratum", "quality", F.explode(named).alias("x"))
-        .select("stratum", "quality", "x.rule", "x.score")
-        .groupBy("stratum", "rule", below.alias("step"))
-        .agg(
-            F.sum("quality").alias("good"),
-            F.sum(1 - F.col("quality")).alias("bad"),
-        )
+        .where((F.col("quality") == 1) | ~base_failed())
+        .select("stratum", part.alias("part"), *(below(score).alias(name) for name, score in scores.items())),
+        "quality-labelled",
     )
-    steps = F.explode(F.sequence(F.lit(0), F.lit(len(CUTOFFS) - 1)))
-    whole = counts.groupBy("stratum", "rule").agg(F.sum("good").alias("all_good"), F.sum("bad").alias("all_bad"))
-    grid = whole.withColumn("tests", F.count("*").over(Window.orderBy(F.lit(1)).rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing))).withColumn("step", steps)
-    so_far = Window.partitionBy("stratum", "rule").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
-    tested = (
-        grid.join(counts, ["stratum", "rule", "step"], "left")
-        .withColumn("wrong", F.sum(F.coalesce("good", F.lit(0))).over(so_far).cast("long"))
-        .withColumn("caught", F.sum(F.coalesce("bad", F.lit(0))).over(so_far).cast("long"))
-        .withColumn("chance", tail(F.col("wrong"), F.col("all_good"), risk / len(scores)))
-        .withColumn("safe", F.col("chance") <= (1 - confidence) / F.col("tests"))
-        .withColumn("all_safe", F.min("safe").over(so_far))
-        .withColumn("cutoff", F.element_at(F.array(*map(F.lit, CUTOFFS)), F.col("step") + 1))
+    tested = labelled.where("part = 'test'")
+    enough = least_good(risk, confidence)
+    large = tested.groupBy("stratum").agg(F.count("*").alias("n")).where(F.col("n") >= enough)
+    own = _own_strata({x["stratum"]: x["n"] for x in large.collect()}, risk, confidence)
+    groups = len(own) + 1
+    stands_alone = F.col("stratum").isin(own) if own else F.lit(False)
+    pooled = tested.where(~stands_alone).count() >= least_good(risk, confidence, groups)
+    # The pool is named by null, which is no stratum.
+    in_groups = F.array(F.when(stands_alone, F.col("stratum")), *([] if pooled else [F.lit(None).cast("string")]))
+    grouped = labelled.withColumn("group", F.explode(F.array_distinct(in_groups)))
+    named = F.array(*(F.struct(F.lit(name).alias("rule"), F.col(name).alias("step")) for name in scores))
+    seen: dict = {}
+    for x in (
+        grouped.where("part <> 'test'")
+        .select("group", "part", F.explode(named).alias("x"))
+        .groupBy("group", "part", "x.rule", "x.step")
+        .count()
+        .collect()
+    ):  # at most one row per group, part, rule and cutoff
+        seen.setdefault(x["group"], {"order": {}, "bad": {}})[x["part"]][x["rule"], x["step"]] = x["count"]
+    paths = {group: _path(list(scores), x["order"], x["bad"]) for group, x in seen.items()}
+    paths = {group: path for group, path in paths.items() if path}
+    if not paths:
+        return spark.createDataFrame([], "stratum string, rule string, cutoff double")
+    places = [(group, name, k, i) for group, path in paths.items() for i, (name, k) in enumerate(path)]
+    moves = small_frame(spark, places, "group string, rule string, step int, place int")
+    order = moves.groupBy(F.col("group").alias("of")).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.struct("rule", "step"), "place"))).alias("places")
     )
-    # Milder cutoffs that catch as many bad documents are preferred: they reject no more good ones.
-    useful = tested.where(
-        F.col("all_safe")
-        & (F.col("caught") >= LEAST_CATCH * F.col("all_bad"))
-        & (F.col("caught") * F.col("all_good") > 10 * F.col("wrong") * F.col("all_bad"))
-        & (F.col("caught") > 0)
+    # A document is rejected from the first place on at which any rule rejects it.
+    first = F.array_min(F.transform(named, lambda x: F.col("places")[x]))
+    wrong = (
+        grouped.where("part = 'test'")
+        .join(F.broadcast(order), F.col("group").eqNullSafe(F.col("of")))  # a row a group
+        .groupBy("group", first.alias("place"))
+        .agg(F.count("*").alias("wrong"))
     )
-    return useful.groupBy("stratum", "rule").agg(
-        F.max_by("cutoff", F.struct("caught", "cutoff")).alias("cutoff")
+    so_far = Window.partitionBy("group").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    trials = wrong.groupBy(F.col("group").alias("of")).agg(F.sum("wrong").alias("trials"))
+    hits = wrong.select(F.col("group").alias("in"), F.col("place").alias("hit"), "wrong")
+    safe = (
+        moves.join(trials, F.col("group").eqNullSafe(F.col("of")))
+        .join(hits, F.col("group").eqNullSafe(F.col("in")) & (F.col("place") == F.col("hit")), "left")
+        .withColumn("errors", F.sum(F.coalesce("wrong", F.lit(0))).over(so_far).cast("long"))
+        .withColumn("chance", tail(F.col("errors"), F.col("trials"), risk))
+        .withColumn("all_safe", F.min(F.col("chance") <= (1 - confidence) / groups).over(so_far))
+        .where("all_safe")
+        .groupBy("group", "rule")
+        .agg(F.max("step").alias("step"))
     )
+    found = []
+    for x in safe.collect():  # a row a group and rule
+        bad = {k: n for (name, k), n in seen[x["group"]]["bad"].items() if name == x["rule"]}
+        useful = [k for k in bad if k <= x["step"]]
+        if useful and sum(bad[k] for k in useful) >= LEAST_CATCH * sum(bad.values()):
+            found.append((x["group"], x["rule"], CUTOFFS[max(useful)]))
+    cutoffs = small_frame(spark, found, "group string, rule string, cutoff double")
+    strata = scored.select("stratum").distinct().withColumn("of", F.when(stands_alone, F.col("stratum")))
+    return strata.join(F.broadcast(cutoffs), F.col("of").eqNullSafe(F.col("group"))).select("stratum", "rule", "cutoff")
 
 
 def judged(scored: DataFrame, cutoffs: DataFrame) -> DataFrame:

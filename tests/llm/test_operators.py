@@ -394,3 +394,27 @@ def test_ppm_scores(docs):
         for a, b in zip(got, sorted(want), strict=True):
             assert a[:5] == b[:5]
             assert a[5:] == pytest.approx(b[5:], rel=1e-5)
+
+
+def test_cutoffs_at_the_production_values(spark):
+    """A large stratum has cutoffs of its own; two small ones share the pool's, as one without labels does."""
+    rows, labels = [], []
+    sizes = {"=big": 1500, "=mid": 600, "=small": 600, "=none": 10}
+    for name, n in sizes.items():
+        for k in range(n + n // 10):
+            i, bad = len(rows), k >= n
+            symbols = (40 if name == "=big" else 80) if bad else k % 8
+            rows.append((i, name, 100, 400, symbols, 0, 0, 5, k % 30))
+            if name != "=none":
+                labels.append((i, int(not bad)))
+    names = "doc_id long, stratum string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, upper_words long"
+    scored, known = spark.createDataFrame(rows, names), spark.createDataFrame(labels, "doc_id long, quality int")
+    cutoffs = quality.thresholds(scored, known)
+    assert {tuple(x.values()) for x in local(cutoffs)} == {
+        ("=big", "symbols", 0.05), ("=mid", "symbols", 0.15), ("=small", "symbols", 0.15), ("=none", "symbols", 0.15)
+    }
+    got = local(quality.judged(scored, cutoffs))
+    assert {x["doc_id"] for x in got if not x["kept"]} == {r[0] for r in rows if r[4] >= 40}
+    few = known.where("doc_id < 500")
+    assert local(quality.thresholds(scored, few)) == []
+    assert quality.least_good() == 598 and quality.least_good(groups=2) == 736
