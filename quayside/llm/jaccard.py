@@ -13,6 +13,11 @@ members outside the largest one meet all others. A pair left out has both ends i
 already, so no class is lost and families do not meet in all pairs. Sets of given sizes must
 share a number of prefix shingles, so a set with many rare ones need look only into the few
 shortest of its lists, or none. Every pair is verified on the whole sets.
+
+Links are counted once the classes stand: both ends of a link are in one class, so all pairs of
+sets of a class are compared, and no others. A class is dealt into blocks of sets; a task has two
+blocks and gets the shingles that all their pairs share from one matrix product, so that rows
+grow with a class's sets times its blocks, not with its pairs.
 """
 
 from __future__ import annotations
@@ -49,6 +54,8 @@ ORDERS = 4  # random orders of a turn
 # In the last turn a set looks into as many of its shortest lists as similar sets must share one
 # of, and so many more; they must then share so many more, too.
 MORE_LISTS = 2
+BLOCK = 256  # sets of a class, on average, that are compared with another such block in one task
+COLUMNS = 1 << 13  # shingles in one matrix product of two blocks
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, list[np.ndarray]]]:
@@ -191,10 +198,8 @@ def similar(common, left, right):
     return 100 * common >= PERCENT * (left + right - common)
 
 
-def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Of pairs of sets (a, a_n, b, b_n) those that are similar."""
-    pairs = written(pairs, "pairs")
-    asked = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+def _shingles_of(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """set_id, n and shingles of the sets whose names are asked for in column id, and of a few more."""
     place = F.col("id").bitwiseAND(SKETCH_BITS - 1)
     bitmaps = dict(
         asked.groupBy(F.bitmap_bucket_number(place + 1).alias("bucket"))
@@ -202,7 +207,14 @@ def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
         .collect()
     )  # at most SKETCH_BITS / BITMAP rows
     wanted = docs.mapInArrow(_wanted_sets(bitmaps), "set_id long, n int, shingles array<bigint>")
-    wanted = written(wanted.dropDuplicates(["set_id", "n"]), "sets")
+    return written(wanted.dropDuplicates(["set_id", "n"]), "sets")
+
+
+def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Of pairs of sets (a, a_n, b, b_n) those that are similar."""
+    pairs = written(pairs, "pairs")
+    asked = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+    wanted = _shingles_of(docs, asked)
     side = lambda x: wanted.select(
         F.col("set_id").alias(x), F.col("n").alias(f"{x}_n"), F.col("shingles").alias(f"{x}_set")
     )
@@ -211,6 +223,75 @@ def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return written(both.where(similar(common, F.col("a_n"), F.col("b_n"))).select("a", "a_n", "b", "b_n"), "links")
 
 
+def _in_common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each of the left sets shares with each of the right ones."""
+    sides = [(np.concatenate(x), np.repeat(np.arange(len(x)), [len(s) for s in x])) for x in (left, right)]
+    shared = np.intersect1d(sides[0][0], sides[1][0])
+    common = np.zeros((len(left), len(right)), np.int64)
+    for start in range(0, len(shared), COLUMNS):
+        part = shared[start : start + COLUMNS]
+        tables = []
+        for (tokens, rows), n in zip(sides, common.shape, strict=True):
+            at = np.minimum(np.searchsorted(part, tokens), len(part) - 1)
+            hit = part[at] == tokens
+            table = np.zeros((n, len(part)), np.float32)  # sums below 2 ** 24 are exact
+            table[rows[hit], at[hit]] = 1
+            tables.append(table)
+        common += (tables[0] @ tables[1].T).astype(np.int64)
+    return common
+
+
+def _compared(table: pa.Table) -> pa.Table:
+    """set_id, n and links of sets within each task (two blocks, or one with itself) of a bucket."""
+    names, sizes, tasks, kinds = (table.column(c).to_numpy() for c in ("set_id", "n", "task", "kind"))
+    shingles = table.column("shingles").combine_chunks()
+    edges, values = shingles.offsets.to_numpy(), shingles.values.to_numpy()
+    order = np.lexsort((kinds, tasks))
+    starts = np.flatnonzero(np.diff(tasks[order], prepend=tasks[order[0]] - 1))
+    links = np.zeros(len(names), np.int64)
+    for places in np.split(order, starts[1:]):
+        one, two = (places[kinds[places] == k] for k in (1, 2))
+        itself = kinds[places[0]] == 0
+        one, two = (places, places) if itself else (one, two)
+        if not len(one) or not len(two):
+            continue
+        left = [values[edges[i] : edges[i + 1]] for i in one]
+        common = _in_common(left, left if itself else [values[edges[i] : edges[i + 1]] for i in two])
+        linked = similar(common, sizes[one][:, None].astype(np.int64), sizes[two][None, :].astype(np.int64))
+        if itself:
+            np.fill_diagonal(linked, False)
+        else:
+            links[two] += linked.sum(axis=0)
+        links[one] += linked.sum(axis=1)
+    return pa.table({"set_id": names, "n": sizes, "links": links})
+
+
+def link_counts(docs: DataFrame, ends: DataFrame) -> DataFrame:
+    """set_id, n and links, the number of other sets that are similar, of all sets in `ends`.
+
+    `ends` holds set_id, n and class of each set that is in a class with others.
+    """
+    counts = ends.groupBy("class").agg(F.count("*").alias("sets")).withColumn("blocks", F.ceil(F.col("sets") / BLOCK))
+    small = ends.count() // BLOCK + 1  # classes of one block share buckets
+    own, other = F.col("own"), F.col("other")
+    dealt = (
+        ends.join(counts, "class")
+        .withColumn("own", F.pmod(F.xxhash64("set_id", "n"), F.col("blocks")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .withColumn("task", F.xxhash64("class", F.least(own, other), F.greatest(own, other)))
+        .select(
+            "set_id",
+            "n",
+            "task",
+            F.when(F.col("blocks") > 1, F.col("task")).otherwise(F.pmod("task", F.lit(small))).alias("bucket"),
+            F.when(own == other, 0).when(own < other, 1).otherwise(2).alias("kind"),
+        )
+    )
+    sets = _shingles_of(docs, ends.select(F.col("set_id").alias("id")))
+    compared = dealt.join(sets, ["set_id", "n"]).groupBy("bucket").applyInArrow(_compared, "set_id long, n int, links long")
+    return written(compared.groupBy("set_id", "n").agg(F.sum("links").alias("links")), "link-counts")
+
+
 def _node(name: str, size: str):
     return F.struct(F.col(size).alias("n"), F.col(name).alias("id"))
 
@@ -244,8 +325,12 @@ def _in_reach(small: str, large: str):
     return 100 * F.col(small) >= PERCENT * F.col(large)
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id and links (sets in the class) of every row.
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_links: bool = True) -> DataFrame:
+    """doc_id, n_shingles, component_id, class_texts, links and set_id of every row.
+
+    Class_texts is the number of distinct sets in the class, links the number of other distinct
+    sets that are similar to the row's own; rows of equal sets share a set_id and are one end.
+    Without `count_links` there is no such column.
 
     Words are lower-cased in A-Z. A null or wordless text has no shingles and is linked with
     nothing: its component is its own id. Equal texts are linked. Repeated rows stay. A null
@@ -358,11 +443,16 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     ids = written(
         least.where("n > 0").join(per_class, "class").select("set_id", "n", "component_id", "sets"), "component-ids"
     )
+    counted = []
+    if count_links:
+        ids = ids.join(link_counts(docs, ends.select("set_id", "n", "class")), ["set_id", "n"], "left")
+        counted = [F.coalesce("links", F.lit(0)).alias("links")]
     return named.join(ids, ["set_id", "n"], "left").select(
         "doc_id",
         F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.coalesce("sets", F.lit(1)).alias("class_texts"),
+        *counted,
         "set_id",
     )
 
@@ -464,7 +554,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
         "join-rows",
     )
     asked = rows.select(F.col("row").alias("doc_id"), F.col("kept_row.text").alias("text"))
-    found = classes(asked)  # rows stand in for ids, which may be null or repeated
+    found = classes(asked, count_links=False)  # rows stand in for ids, which may be null or repeated
     ids = rows.select("row", F.col("kept_row.doc_id").cast("long").alias("doc_id"))
     placed = found.select(F.col("doc_id").alias("row"), "component_id").join(ids, "row")
     first = F.struct(F.col("doc_id").isNull(), "doc_id", "row")

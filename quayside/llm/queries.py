@@ -24,7 +24,7 @@ def op2_secret_scans(spark, sf_dir):
 
 def op3_ngram_jaccard_join(spark, sf_dir):
     found = jaccard.classes(read(apply_settings(spark), sf_dir, "documents"))
-    return found.select("doc_id", "n_shingles", "component_id", "class_texts")
+    return found.select("doc_id", "n_shingles", "component_id", "class_texts", "links")
 
 
 def op4_quality_rules(spark, sf_dir):

@@ -418,3 +418,20 @@ def test_cutoffs_at_the_production_values(spark):
     few = known.where("doc_id < 500")
     assert local(quality.thresholds(scored, few)) == []
     assert quality.least_good() == 598 and quality.least_good(groups=2) == 736
+
+
+@pytest.mark.parametrize("block", [256, 3])
+def test_links_of_every_set(spark, monkeypatch, block):
+    """A family in which all are similar, a chain whose ends are not, equal sets and loners."""
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    base = [f"w{i}" for i in range(120)]
+    rows = [(i, " ".join(base[:110] + [f"end{i}"])) for i in range(9)]
+    rows += [(20 + i, " ".join(f"c{k}" for k in range(9 * i, 9 * i + 100))) for i in range(8)]
+    rows += [(40, " ".join(base[:110] + ["END0"])), (41, "just some words of no family at all"), (42, None)]
+    got = {x["doc_id"]: x["links"] for x in local(jaccard.classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)))}
+    sets = {i: frozenset(tuple(t[k : k + 5]) for k in range(len(t) - 4)) for i, t in ((i, (x or "").lower().split()) for i, x in rows)}
+    apart = set(sets.values())
+    for i, own in sets.items():
+        want = sum(bool(own) and x != own and 100 * len(own & x) >= 75 * len(own | x) for x in apart)
+        assert got[i] == want, i
+    assert got[0] == 8 and got[20] < got[23] < 7
