@@ -2,7 +2,9 @@
 
 Groups of equal texts, in the order of their text hash, are cut into contiguous runs so that
 the largest run is as small as any such cut allows. The smallest feasible capacity is found by
-binary search, each candidate checked greedily. The check needs running sums, so it works on
+binary search, each candidate checked greedily. Of the cuts that respect it near-equal ones are
+taken: a group larger than its share gets a shard to itself and the rest is spread evenly over
+the others, each shard ending as near to its share of what is left as it can. The check needs running sums, so it works on
 cells: ranges of the hash with their bytes. 65,536 cells bound what the driver holds; only
 cells in which a cut can fall are refined, by one more aggregate each time, until those hold a
 single group each. The answer is then that of the groups themselves.
@@ -11,8 +13,9 @@ single group each. The answer is then that of the groups themselves.
 from __future__ import annotations
 
 import math
-from bisect import bisect_right
-from itertools import accumulate
+from bisect import bisect_left, bisect_right
+from heapq import nlargest
+from itertools import accumulate, pairwise
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -91,7 +94,7 @@ def minimax_cuts(groups: DataFrame, shards: int, max_cells: int = MAX_CELLS) ->
             if cells[i][3] > 1 and cells[i][1] < KEY_BITS
         ]
         if not open_cells:
-            return [cells[i][0] for i in greedy_cuts(edges, shards, high)]
+            return [cells[i][0] for i in even_cuts(edges, shards, high)]
         depth = max(cells[i][1] for i in open_cells) + 1
         while depth < KEY_BITS and sum(2 ** (depth + 1 - cells[i][1]) for i in open_cells) <= max_cells:
             depth += 1
@@ -137,6 +140,69 @@ def greedy_cuts(edges: list[int], shards: int, capacity: int) -> list[int] | Non
     return None
 
 
+def even_cuts(edges: list[int], shards: int, capacity: int) -> list[int]:
+    """Where shards after the first begin, near-equal and within a capacity that suffices."""
+    last = len(edges) - 1
+    shards = min(shards, last)
+    if shards <= 1:
+        return []
+    sizes = [b - a for a, b in pairwise(edges)]
+    big = max(range(last), key=sizes.__getitem__)
+    if sizes[big] * shards > edges[-1] - edges[0]:
+        before, after = edges[: big + 1], edges[big + 1 :]
+        # How many shards come before the large group; no side gets more than it has cells.
+        splits = []
+        for k in range(max(0, shards - last + big), min(shards - 1, big) + 1):
+            sides = ((before, k), (after, shards - 1 - k))
+            if max(_least(*side) for side in sides) <= capacity:
+                splits.append((max(_level(*side) for side in sides), k))
+        if splits:
+            first = min(splits)[1]
+            own = [big] if big else []
+            beyond = [big + 1] if big + 1 < last else []
+            return [
+                *even_cuts(before, first, capacity),
+                *own,
+                *beyond,
+                *(big + 1 + i for i in even_cuts(after, shards - 1 - first, capacity)),
+            ]
+    # From which cell on the rest fits into 1, 2, … shards.
+    fits = [last]
+    for _ in range(shards - 1):
+        fits.append(bisect_left(edges, edges[fits[-1]] - capacity))
+    cuts, at = [], 0
+    for left in range(shards - 1, 0, -1):
+        aim = edges[at] + (edges[-1] - edges[at]) / (left + 1)
+        near = bisect_left(edges, aim)
+        if near and aim - edges[near - 1] < edges[near] - aim:
+            near -= 1
+        farthest = min(bisect_right(edges, edges[at] + capacity) - 1, last - left)
+        at = min(max(near, fits[left], at + 1), farthest)
+        cuts.append(at)
+    return cuts
+
+
+def _level(edges: list[int], shards: int) -> float:
+    """The share of each shard that holds no group larger than that."""
+    total = edges[-1] - edges[0]
+    for size in nlargest(shards, (b - a for a, b in pairwise(edges))):
+        if size * shards <= total:
+            break
+        total, shards = total - size, shards - 1
+    return total / shards if shards else 0
+
+
+def _least(edges: list[int], shards: int) -> float:
+    """The smallest capacity for so many shards; none suffices if there are cells but no shards."""
+    if len(edges) < 2:
+        return 0
+    total = edges[-1] - edges[0]
+    if not shards:
+        return math.inf
+    low = max(-(-total // shards), max(b - a for a, b in pairwise(edges)))
+    return smallest_capacity(edges, shards, low, total)
+
+
 def smallest_capacity(edges: list[int], shards: int, low: int, high: int) -> int:
     while low < high:
         middle = (low + high) // 2

@@ -2,11 +2,12 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
-from itertools import combinations
+from itertools import accumulate, combinations
 
 import public_tokenizers
 import pytest
@@ -435,3 +436,37 @@ def test_links_of_every_set(spark, monkeypatch, block):
         want = sum(bool(own) and x != own and 100 * len(own & x) >= 75 * len(own | x) for x in apart)
         assert got[i] == want, i
     assert got[0] == 8 and got[20] < got[23] < 7
+
+
+@pytest.mark.parametrize("place", [0, 90, 299])
+def test_shards_beside_a_large_group_are_even(spark, place):
+    """One text with a third of all bytes fills one shard; the other 15 share the rest."""
+    rows = [((i * 2**55) - 2**63, 100 if i != place else 14_950, 1) for i in range(300)]
+    cuts = sharding.minimax_cuts(spark.createDataFrame(rows, "key long, bytes long, n long"), 16)
+    loads = Counter()
+    for key, size, _ in rows:
+        loads[sum(key >= c for c in cuts)] += size
+    small = sorted(loads.values())[:-1]
+    assert len(loads) == 16 and max(loads.values()) == 14_950
+    assert min(small) >= 1700 and max(small) <= 2300
+
+
+def test_shards_between_two_large_groups_are_even():
+    sizes = [10] * 140 + [3000] + [10] * 70 + [900] + [10] * 70
+    edges = [0, *accumulate(sizes)]
+    ends = [0, *sharding.even_cuts(edges, 10, best_capacity(sizes, 10)), len(sizes)]
+    loads = sorted(edges[b] - edges[a] for a, b in zip(ends, ends[1:], strict=False))
+    assert loads == [350] * 8 + [900, 3000]
+
+
+def test_even_cuts_respect_the_capacity():
+    rng = random.Random(5)
+    for _ in range(3000):
+        sizes = [rng.choice((1, 2, 5, rng.randint(1, 40))) for _ in range(rng.randint(1, 14))]
+        shards, edges = rng.randint(1, 7), [0, *accumulate(sizes)]
+        best = best_capacity(sizes, shards)
+        cuts = sharding.even_cuts(edges, shards, best)
+        ends = [0, *cuts, len(sizes)]
+        loads = [edges[b] - edges[a] for a, b in zip(ends, ends[1:], strict=False)]
+        assert len(loads) <= shards and max(loads) <= best and min(loads) > 0
+        assert len(loads) == min(shards, len(sizes))
