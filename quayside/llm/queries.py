@@ -37,7 +37,8 @@ def op5_sentencepiece(spark, sf_dir):
 
 
 def op6_license_scans(spark, sf_dir):
-    return licenses.scan(read(apply_settings(spark), sf_dir, "documents"))
+    docs = read(apply_settings(spark), sf_dir, "documents")
+    return licenses.scan(docs, licenses.TEMPLATES, edits=True)
 
 
 def op7_token_counts(spark, sf_dir):

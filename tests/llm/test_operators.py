@@ -470,3 +470,24 @@ def test_even_cuts_respect_the_capacity():
         loads = [edges[b] - edges[a] for a, b in zip(ends, ends[1:], strict=False)]
         assert len(loads) <= shards and max(loads) <= best and min(loads) > 0
         assert len(loads) == min(shards, len(sizes))
+
+
+def test_license_templates_forgive_a_word(spark):
+    gnu = "x. " + licenses._GNU.replace("useful", "handy")
+    texts = {
+        "gpl-3.0": "x y z This work is licenced under the GNU General Public License, version 3. And so on",
+        "mit": "Permission is hereby granted, free of charge, to any human obtaining a copy of this software",
+        "mit ": "a b Distributed under the MIT License. c d",
+        "apache-2.0": "some words Licenced under the Apache License, Version 2.0. more",
+        "cc-by-nc-4.0": "Shared under CC BY-NC 4.0. more",
+        "cc-by-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+        "all-rights-reserved,mit": "All rights reserved. Released under the MIT License.",
+        "bsd-2-clause": licenses._BSD_2 + " THIS SOFTWARE IS PROVIDED",
+        "lgpl-3.0": gnu.format("Lesser General Public License", 3),
+        "agpl-3.0": gnu.format("Affero General Public License", 3),
+        "gpl-3.0 ": gnu.format("General Public License", 3),
+        "": "Released under the license. Some rights reserved. Under the terms of the treaty",
+    }
+    rows = [(i, text) for i, text in enumerate(texts.values())] + [(99, None)]
+    got = {x["doc_id"]: x["licenses"] for x in local(licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), licenses.TEMPLATES, edits=True))}
+    assert got == {**{i: name.strip() for i, name in enumerate(texts)}, 99: ""}
