@@ -31,8 +31,9 @@ def mix_sources(spark, docs, sf_dir):
 
 
 def encode_text(spark, docs, sf_dir):
-    """Documents with the ids of their pieces."""
-    return pieces.encode(docs, public_tokenizers.path(MODEL))
+    """Documents with the ids of their pieces and the text that these decode to."""
+    path = public_tokenizers.path(MODEL)
+    return pieces.decode(pieces.encode(docs, path), path)
 
 
 STAGES = [

@@ -491,3 +491,13 @@ def test_license_templates_forgive_a_word(spark):
     rows = [(i, text) for i, text in enumerate(texts.values())] + [(99, None)]
     got = {x["doc_id"]: x["licenses"] for x in local(licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), licenses.TEMPLATES, edits=True))}
     assert got == {**{i: name.strip() for i, name in enumerate(texts)}, 99: ""}
+
+
+def test_last_stage_decodes(spark, sf_dir):
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(MODEL))
+    docs = spark.createDataFrame([(1, "Some  words\nand é"), (2, None)], "doc_id long, text string")
+    got = corpus_pipeline.encode_text(spark, docs, sf_dir)
+    assert got.columns == ["doc_id", "text", "ids", "decoded"]
+    for x in local(got):
+        ids = library.encode(x["text"] or "", add_eos=True)
+        assert (x["ids"], x["decoded"]) == (ids, library.decode(ids))
