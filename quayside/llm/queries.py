@@ -5,12 +5,27 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from quayside.llm import jaccard, licenses, mixing, pieces, ppm, quality, secret_scan, sharding, token_counts, top_k
+from quayside.llm import (
+    alignment,
+    jaccard,
+    licenses,
+    mixing,
+    periodic_runs,
+    pieces,
+    ppm,
+    quality,
+    secret_scan,
+    sharding,
+    token_counts,
+    top_k,
+    toxicity,
+)
 from quayside.llm.tables import read
 from quayside.session import apply_settings
 
 MODEL = "piece_bpe_32k.model"
 RANKS = "byte_bpe_50k.tiktoken"
+BYTE_LEVEL = "byte_bpe_50k.json"
 
 
 def op1_exact_top_k(spark, sf_dir):
@@ -62,6 +77,20 @@ def op10_source_mixing(spark, sf_dir):
     )
 
 
+def op11_periodic_runs(spark, sf_dir):
+    return periodic_runs.scan(read(apply_settings(spark), sf_dir, "documents"), plant=True, texts=False)
+
+
+def op12_cross_tokenizer_alignment(spark, sf_dir):
+    docs = read(apply_settings(spark), sf_dir, "documents")
+    return alignment.align(docs, public_tokenizers.path(BYTE_LEVEL), public_tokenizers.path(MODEL))
+
+
+def op13_toxicity(spark, sf_dir):
+    docs = read(apply_settings(spark), sf_dir, "documents")
+    return toxicity.judged(docs, read(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -75,6 +104,9 @@ QUERIES = {
         op8_ppm_scoring,
         op9_sharding,
         op10_source_mixing,
+        op11_periodic_runs,
+        op12_cross_tokenizer_alignment,
+        op13_toxicity,
     )
 }
 
