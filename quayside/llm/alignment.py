@@ -3,8 +3,8 @@
 Both tokenizers cut the same bytes. As sparse matrices, tokens by bytes, A and B give the overlap
 links A·Bᵀ. Where tokens of both end at one byte the text is cut into groups; the incidence of
 groups and ids gives the links within groups by the same row product. Neither tokenizer looks
-past a blank that follows a word, so texts are cut there into units, and each distinct unit is
-worked out once.
+past a blank that follows a word, or from a letter to a comma, so texts are cut there into
+units, and each distinct unit is worked out once.
 
 Counts of linked id pairs are made chunk by chunk: a chunk of documents hands its distinct pairs
 to one sum over the corpus and gets back the totals of just those, so no document's links are
@@ -34,13 +34,15 @@ from quayside.llm.tables import whole_text, written
 
 SPACE = "▁"
 B_BITS = 16  # of a pair's code; ids of B are below 2 ** 16
-CHUNK_CHARS = 1 << 23
-KNOWN_UNITS = 300_000
-NEW_CHARS = 1 << 21  # of units worked out at once
+CHUNK_CHARS = 1 << 22
+KNOWN_UNITS = 400_000
+NEW_CHARS = 1 << 18  # of units worked out at once
 LONG_UNIT = 512  # longer units are worked out anew in each chunk
 
-# A blank after a character that is none: both tokenizers have a boundary in front of it.
-_CUT = re.compile(r"(?<=\S)(?= )")
+# Both tokenizers have a boundary in front of a blank or line end after a character that is none,
+# and between a Latin letter and one of these signs.
+LETTER, SIGN = "a-zA-ZÀ-ÖØ-öø-ɏ", ",.;:!?"
+_CUT = re.compile(rf"(?=[ \n{SIGN}])(?:(?<=\S)(?=[ \n])|(?<=[{LETTER}])(?=[{SIGN}]))")
 
 
 @dataclass
@@ -130,9 +132,12 @@ class TwoTokenizers:
         normal = model.normalizer_spec
         if normal.precompiled_charsmap or normal.remove_extra_whitespaces or not normal.add_dummy_prefix:
             raise ValueError("B must leave texts as they are and add a blank")
-        if any(re.search(f"[^{SPACE}]{SPACE}", p.piece) for p in model.pieces if p.type == 1):
-            raise ValueError("a piece of B reaches into the next word")
+        across = re.compile(f"[^{SPACE}]{SPACE}|\n|[{LETTER}][{SIGN}]")
+        if any(across.search(p.piece) for p in model.pieces if p.type == 1):
+            raise ValueError("a piece of B reaches across a boundary of units")
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
+        if len(self.b.encode("\n")) != 2:
+            raise ValueError("B must show a line end as one byte")
         self.blank = self.b.piece_to_id(SPACE)
         self.bytes_b = [
             bytes([int(p.piece[3:-1], 16)]) if p.type == 6 else p.piece.replace(SPACE, " ").encode()
@@ -142,11 +147,11 @@ class TwoTokenizers:
             raise ValueError("vocabulary too large")
 
     def encode(self, units: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of units, each of which begins with a blank that B adds by itself."""
+        """Ids of units. B adds a blank by itself, so a unit without one is put after a line end."""
         of_a = [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)]
-        of_b = self.b.encode([unit[1:] for unit in units], num_threads=1)
+        of_b = self.b.encode([u[1:] if u[0] == " " else "\n" + u for u in units], num_threads=1)
         # B gives nothing for an empty rest; after other units the blank is a piece of its own.
-        return of_a, [ids or [self.blank] for ids in of_b]
+        return of_a, [ids or [self.blank] if u[0] == " " else ids[2:] for u, ids in zip(units, of_b, strict=True)]
 
 
 class Units:
