@@ -22,6 +22,11 @@ DEFAULT_MAPPERS = "4"
 FIRST_LAST_VALUE = "0"
 
 
+def named(name: str) -> Column:
+    """The column of just this name, dots and quotes in it included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def build_spec(*parts: Column) -> Column:
     return F.concat_ws(SPEC_SEPARATOR, *(F.coalesce(p, F.lit("")) for p in parts))
 

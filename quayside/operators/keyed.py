@@ -65,15 +65,24 @@ def missing_from(rows: DataFrame, df: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(distinct_keys(known, keys), keys, "left_anti")
 
 
+def by_whole_key(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows whose key has no null in it, and the others."""
+    whole = reduce(and_, (F.col(name).isNotNull() for name in keys))
+    return df.where(whole), df.where(~whole)
+
+
 def insert_if_absent(
     df: DataFrame, rows: DataFrame, keys: list[str], order: list[str] | None = None
 ) -> DataFrame:
     """`df` with the rows whose key is new; of rows that share one the first by `order` goes in.
 
-    Without an order any one of them does.
+    Without an order any one of them does. Null keys match nothing, not each other either, so
+    every row with a null in its key goes in.
     """
     new = missing_from(rows, df, keys)
-    return insert(df, first_per_key(new, keys, order) if order else new.dropDuplicates(keys))
+    whole, part = by_whole_key(new, keys)
+    once = first_per_key(whole, keys, order) if order else whole.dropDuplicates(keys)
+    return insert(insert(df, once), part)
 
 
 def update(
@@ -82,8 +91,10 @@ def update(
     """`df` with matched rows replaced, and the updates that matched nothing.
 
     `updates` holds the columns to replace. Of updates that share a key the last by `order`
-    counts, without an order any one, so no row of `df` is ever doubled.
+    counts, without an order any one, so no row of `df` is ever doubled. Updates with a null in
+    their key match nothing and come back, each of them.
     """
+    updates, part = by_whole_key(updates, keys)
     updates = latest_per_key(updates, keys, order) if order else updates.dropDuplicates(keys)
     changed = [name for name in updates.columns if name not in keys]
     new = updates.select(*keys, F.struct(*changed).alias("_new"))
@@ -98,7 +109,7 @@ def update(
             for name in df.columns
         )
     )
-    return updated, missing_from(updates, df, keys)
+    return updated, insert(missing_from(updates, df, keys), part)
 
 
 def delete(df: DataFrame, doomed: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:

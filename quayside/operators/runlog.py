@@ -17,7 +17,7 @@ STARTED, FINISHED, ERROR = "STARTED", "FINISHED", "ERROR"
 
 EVENT_SCHEMA = (
     "run_id string, job_name string, step int, phase string, status string, "
-    "at timestamp, n_rows bigint, mark string, message string"
+    "at timestamp, n_rows bigint, mark string, message string, generation bigint"
 )
 
 def fold_states(
@@ -55,6 +55,7 @@ def run_states(events: DataFrame) -> DataFrame:
     return events.groupBy("job_name", "run_id").agg(
         F.max(done).alias("loaded"),
         F.max_by("mark", F.when(done, _order())).alias("mark"),
+        F.max_by("generation", F.when(done, _order())).alias("generation"),
         F.max("at").alias("last_at"),
     )
 

@@ -27,6 +27,19 @@ def parse_specs(df: DataFrame, spec: str, incremental: bool = True) -> DataFrame
     )
 
 
+REFUSED_SCHEMA = "input string, spec_error string"
+
+
+def once_per_job(parsed: DataFrame, spec: str) -> DataFrame:
+    """Of the good specs of one job the first by text stays good, of equal ones one row is left."""
+    good = F.col("spec_error").isNull()
+    first = parsed.where(good).groupBy("job_name").agg(F.min(spec).alias("_first"))
+    marked = parsed.dropDuplicates().join(first, "job_name", "left")
+    twice = good & (F.col(spec) != F.col("_first"))
+    error = F.when(twice, F.lit("another spec of this job comes first")).otherwise(F.col("spec_error"))
+    return marked.withColumn("spec_error", error).select(*parsed.columns)
+
+
 def good_specs(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("spec_error").isNull()).drop("spec_error")
 

@@ -12,13 +12,14 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.functions.naming import named
 from quayside.operators import keyed, runlog
 from quayside.operators.discovery import discover_specs
 from quayside.operators.groups import GROUP_SIZE
 from quayside.operators.schema import normalised_schema
-from quayside.operators.specs import good_specs, parse_specs, rejected_specs
+from quayside.operators.specs import REFUSED_SCHEMA, good_specs, once_per_job, parse_specs, rejected_specs
 from quayside.plans import load
-from quayside.plans.registry import Registry, spec_of
+from quayside.plans.registry import START_AFTER, START_ALL, Registry, spec_of
 from quayside.plans.runs import Event, RunLog, new_run_id
 from quayside.session import apply_settings, small_frame
 from quayside.sources.databases import JdbcDatabase, LakeDatabase
@@ -27,6 +28,10 @@ log = logging.getLogger(__name__)
 
 Database = LakeDatabase | JdbcDatabase
 
+# What a run does about rows that turned up at or below its last value, or have no check value:
+# import them, count them and say so, or nothing.
+LATE_IMPORT, LATE_COUNT, LATE_IGNORE = "import", "count", "ignore"
+
 
 @dataclass(frozen=True)
 class Outcome:
@@ -37,12 +42,17 @@ class Outcome:
     n_rows: int
     mark: str | None
     error: str | None = None
+    n_late: int = 0
+    generation: int | None = None
 
 
 @dataclass
 class Intake:
     """Imports from databases into target tables.
 
+    `late` says what a run does about rows that an earlier one would have had to take: import
+    them too, "count" them only, or "ignore" them, which spares the look at the check column.
+
     `connect` gives the database for (db_type, server, database), so credentials stay with
     the caller. The session's zone is pinned, so that a last value stored as text names the
     same moment in every session.
@@ -53,6 +63,7 @@ class Intake:
     run_log: RunLog
     connect: Callable[[str, str, str], Database]
     target_root: str = load.TARGET_ROOT
+    late: str = LATE_IMPORT
 
     def __post_init__(self):
         apply_settings(self.spark)
@@ -63,13 +74,25 @@ class Intake:
         known = {row["table_name"] for row in jobs.select("table_name").collect()}
         tables, columns = self.connect(db_type, server, database).catalogue(known)
         specs = discover_specs(tables, columns, db_type, server, database)
-        return self.create_jobs(specs)
+        # The last value found is only where the rows began, so nothing is left out on purpose.
+        return self._create(specs, START_ALL)
 
     def create_jobs(self, specs: DataFrame) -> DataFrame:
-        """Register the specs in column `input`; the specs refused come back."""
-        parsed = parse_specs(specs.select("input"), "input")
-        self.registry.create(good_specs(parsed))
-        return rejected_specs(parsed, "input")
+        """Register the specs in column `input`; the specs refused come back.
+
+        Of several specs of one job the first by text is registered, the others are refused. A
+        job that exists stays as it is. Rows up to a spec's last value are never wanted.
+        """
+        return self._create(specs, START_AFTER)
+
+    def _create(self, specs: DataFrame, start: str) -> DataFrame:
+        parsed = once_per_job(parse_specs(specs.select("input"), "input"), "input")
+        # Kept as they are: creating makes the jobs that a second look would find.
+        refused = small_frame(
+            self.spark, [tuple(r) for r in rejected_specs(parsed, "input").collect()], REFUSED_SCHEMA
+        )
+        self.registry.create(good_specs(parsed), start)
+        return refused
 
     def run_table(self, job_name: str, run_id: str | None = None) -> Outcome:
         """Import, load and clean up one table; each phase is logged with its row count.
@@ -118,18 +141,18 @@ class Intake:
 
     def _run(self, job: Row, run_id: str | None = None) -> Outcome:
         job_name = job["job_name"]
-        standing = self.run_log.standing(job_name)
+        standing = self.run_log.standing(job_name, job["generation"])
         if run_id and self.run_log.is_loaded(job_name, run_id):
             log.info("Run %s of %s is loaded already.", run_id, job_name)
             return Outcome(job_name, run_id, 0, standing.mark)
         run_id = run_id or standing.open_run or new_run_id()
-        event = partial(Event, run_id, job_name)
+        event = partial(Event, run_id, job_name, generation=job["generation"])
         phase = runlog.IMPORT
         self.run_log.append(event(1, phase, runlog.STARTED))
         try:
             spec, landing = spec_of(job), f"{job['target_dir']}/run-{run_id}"
-            rows = self._source_rows(spec, standing.mark)
-            landed = load.land(rows, landing, spec["check_col"] or None)
+            rows, high, n_late = self._source_rows(job, spec, standing.mark, run_id)
+            landed = load.land(rows, landing)
             imported = event(2, phase, runlog.FINISHED, n_rows=landed.n_rows)
             phase = runlog.LOAD
             self.run_log.append(imported, event(3, phase, runlog.STARTED))
@@ -148,27 +171,59 @@ class Intake:
                 normalised_schema(rows.schema),
             )
             self.run_log.append(
-                event(4, phase, runlog.FINISHED, n_rows=loaded.n_rows, mark=landed.mark)
+                event(4, phase, runlog.FINISHED, n_rows=loaded.n_rows, mark=high)
             )
         except Exception as error:
             self.run_log.append(event(5, phase, runlog.ERROR, message=str(error)))
             raise
         load.clean_up(self.spark, landing)
-        return Outcome(job_name, run_id, loaded.n_rows, landed.mark)
+        return Outcome(job_name, run_id, loaded.n_rows, high, n_late=n_late, generation=job["generation"])
+
+    def _source_rows(
+        self, job: Row, spec: dict[str, str], mark: str | None, run_id: str
+    ) -> tuple[DataFrame, str | None, int]:
+        """The rows to import, the last value they reach, and how many late ones were found.
 
-    def _source_rows(self, spec: dict[str, str], mark: str | None) -> DataFrame:
-        """The whole table, or with a check column the rows past the last value."""
+        Without a check column that is the whole table. Else it is the rows past the last
+        value, and the late ones as the intake is told to treat them.
+        """
         source = self.connect(spec["db_type"], spec["server"], spec["database"])
         table, check_col = spec["table"], spec["check_col"] or None
-        last = (mark or spec["last_val"] or None) if check_col else None
-        high = source.high_mark(table, check_col, last) if check_col else None
         split_by, mappers = spec["split_by"] or None, int(spec["mappers"])
-        return source.read(table, split_by, mappers, check_col, last, high)
+        if not check_col:
+            return source.read(table, split_by, mappers), None, 0
+        last = mark or spec["last_val"] or None
+        high = source.high_mark(table, check_col, last)
+        rows = source.read(table, split_by, mappers, check_col, last, high)
+        late = self._late_rows(job, spec, source, check_col, last, run_id)
+        if late is None:
+            return rows, high, 0
+        n_late = late.count()
+        if self.late == LATE_COUNT:
+            log.warning("Job %s: %d rows came below its last value and stay out", job["job_name"], n_late)
+            return rows, high, n_late
+        return rows.unionByName(late), high, n_late
+
+    def _late_rows(self, job, spec, source: Database, check_col: str, last: str | None, run_id: str) -> DataFrame | None:
+        """Rows between where the job began and its last value that its target lacks; none if proved."""
+        name = f"`{spec['database']}`.`{spec['table']}`"
+        floor = None if job["start"] == START_ALL else job["declared"] or None
+        if self.late == LATE_IGNORE:
+            return None
+        if not self.spark.catalog.tableExists(name):
+            without = source.read(spec["table"]).where(named(check_col).isNull())
+            return None if keyed.is_empty(without) else without
+        # What this run loaded before it was cut short will be replaced.
+        own = F.contains(F.col("_metadata.file_path"), F.lit(f"/run-{run_id}/"))
+        target = self.spark.table(name).where(~own)
+        if check_col.lower() not in target.columns or last is None:
+            return None
+        return source.late_rows(spec["table"], check_col, target, floor, last)
 
     def _save_marks(self, outcomes: list[Outcome]) -> None:
-        marks = [(o.job_name, o.mark) for o in outcomes if o.error is None and o.mark is not None]
+        marks = [(o.job_name, o.mark, o.generation) for o in outcomes if o.error is None and o.mark is not None]
         if marks:
-            rows = small_frame(self.spark, marks, "job_name string, last_val string")
+            rows = small_frame(self.spark, marks, "job_name string, last_val string, generation bigint")
             self.registry.save_marks(rows)
 
 

@@ -28,6 +28,7 @@ class Event:
     n_rows: int | None = None
     mark: str | None = None
     message: str | None = None
+    generation: int | None = None
 
 
 @dataclass(frozen=True)
@@ -68,12 +69,18 @@ class RunLog:
         states = runlog.run_states(search(self.events(job_name), run_id=run_id))
         return not states.where("loaded").isEmpty()
 
-    def standing(self, job_name: str) -> Standing:
-        """The mark of the latest load, and the id of the latest run if it did not load."""
+    def standing(self, job_name: str, generation: int | None = None) -> Standing:
+        """The mark of the latest load, and the id of the latest run if it did not load.
+
+        With a generation, marks reached under another one do not count.
+        """
         if not path_exists(self.spark, self._folder(job_name)):
             return Standing(None, None)
         states = runlog.run_states(self.events(job_name))
-        marked_at = F.when(F.col("loaded") & F.col("mark").isNotNull(), F.col("last_at"))
+        counts = F.col("loaded") & F.col("mark").isNotNull()
+        if generation is not None:
+            counts &= F.coalesce(F.col("generation") == generation, F.lit(True))
+        marked_at = F.when(counts, F.col("last_at"))
         unfinished = F.when(~F.col("loaded"), F.col("run_id"))
         row = states.agg(F.max_by("mark", marked_at), F.max_by(unfinished, "last_at")).first()
         return Standing(*row)

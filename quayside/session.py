@@ -84,6 +84,13 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return filesystem.delete(jvm_path, True)
 
 
+def rename_path(spark: SparkSession, path: str, to: str) -> None:
+    filesystem, source = _filesystem(spark, path)
+    _, target = _filesystem(spark, to)
+    if not filesystem.rename(source, target):
+        raise QuaysideError(f"cannot rename {path} to {to}")
+
+
 def write_json_lines(spark: SparkSession, folder: str, records: list[dict]) -> None:
     """Add a small file of JSON lines to a folder.
 

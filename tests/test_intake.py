@@ -4,6 +4,7 @@ import pytest
 
 from conftest import rows
 from quayside.errors import JobNotFound, SchemaConflict
+from quayside.operators.specs import parse_specs
 from quayside.plans import load
 from quayside.plans.intake import Intake
 from quayside.plans.registry import Registry
@@ -79,16 +80,114 @@ def test_runs_pick_up_where_the_last_one_stopped(shop):
     first = shop.intake.run_table(shop.job("a"))
     assert (first.n_rows, first.mark) == (2, "1")
     shop.put("a", [(0, "changed"), (1, "y"), (2, "z"), (None, "n")], "id bigint, v string")
-    assert shop.intake.run_table(shop.job("a")).n_rows == 1
+    second = shop.intake.run_table(shop.job("a"))
+    assert (second.n_rows, second.n_late, second.mark) == (2, 1, "2")
     empty = shop.intake.run_table(shop.job("a"))
     assert (empty.n_rows, empty.mark) == (0, None)
-    assert shop.table("a") == [(0, "x"), (1, "y"), (2, "z")]
+    assert shop.table("a") == [(0, "x"), (1, "y"), (2, "z"), (None, "n")]
     assert shop.intake.registry.read(shop.job("a"))["last_val"] == "2"
     runs = shop.intake.run_log.runs().collect()
-    assert sorted((r["import_rows"], r["load_rows"]) for r in runs) == [(0, 0), (1, 1), (2, 2)]
+    assert sorted((r["import_rows"], r["load_rows"]) for r in runs) == [(0, 0), (2, 2), (2, 2)]
     assert {(r["import_status"], r["load_status"]) for r in runs} == {("FINISHED", "FINISHED")}
 
 
+def numbers(*ranges):
+    return [(i, f"v{i}") for r in ranges for i in r]
+
+
+def test_late_rows_arrive(shop):
+    shop.put("a", numbers(range(100, 200)), "k bigint, v string")
+    shop.initialise()
+    assert shop.intake.run_table(shop.job("a")).mark == "199"
+    shop.put("a", numbers(range(50, 60), range(100, 200)) + [(None, "n")], "k bigint, v string")
+    late = shop.intake.run_table(shop.job("a"))
+    assert (late.n_rows, late.n_late, late.mark) == (11, 11, None)
+    assert shop.intake.run_table(shop.job("a")).n_rows == 0
+    # The last value is still the one reached, and later rows are taken once.
+    shop.put("a", numbers(range(45, 60), range(100, 210)) + [(None, "n")], "k bigint, v string")
+    both = shop.intake.run_table(shop.job("a"))
+    assert (both.n_rows, both.n_late, both.mark) == (15, 5, "209")
+    assert len(shop.table("a")) == 126
+
+
+def test_rows_without_a_check_value_arrive_with_the_first_run(shop, spark):
+    shop.put("a", [(1, "x"), (None, "n"), (None, "n")], "k bigint, v string")
+    spec = (f"{shop.job('a')}:k:4:k:0",)
+    shop.intake.create_jobs(spark.createDataFrame([spec], "input string"))
+    assert shop.intake.run_table(shop.job("a")).n_rows == 3
+    assert shop.intake.run_table(shop.job("a")).n_rows == 0
+
+
+def test_late_rows_can_be_counted_or_ignored(shop, caplog):
+    shop.put("a", numbers(range(10, 20)), "k bigint, v string")
+    shop.initialise()
+    shop.intake.run_table(shop.job("a"))
+    shop.put("a", numbers(range(5, 21)), "k bigint, v string")
+    shop.intake.late = "count"
+    counted = shop.intake.run_table(shop.job("a"))
+    assert (counted.n_rows, counted.n_late) == (1, 5)
+    assert "5 rows came below" in caplog.text
+    shop.intake.late = "ignore"
+    assert shop.intake.run_table(shop.job("a")).n_late == 0
+
+
+def test_rows_up_to_the_last_value_of_a_spec_are_not_wanted(shop, spark):
+    shop.put("a", numbers(range(20)), "k bigint, v string")
+    spec = (f"{shop.job('a')}:k:4:k:9",)
+    shop.intake.create_jobs(spark.createDataFrame([spec], "input string"))
+    assert [shop.intake.run_table(shop.job("a")).n_rows for _ in range(2)] == [10, 0]
+
+
+def test_a_run_cut_short_after_its_load_keeps_its_late_rows(shop, monkeypatch):
+    shop.put("a", numbers(range(10, 20)), "k bigint, v string")
+    shop.initialise()
+    shop.intake.run_table(shop.job("a"))
+    shop.put("a", numbers(range(5, 22)), "k bigint, v string")
+    append = RunLog.append
+
+    def lost(self, *events):
+        if events[-1].phase == "load" and events[-1].status == "FINISHED":
+            raise KeyboardInterrupt
+        append(self, *events)
+
+    monkeypatch.setattr(RunLog, "append", lost)
+    with pytest.raises(KeyboardInterrupt):
+        shop.intake.run_table(shop.job("a"))
+    monkeypatch.undo()
+    again = shop.intake.run_table(shop.job("a"))
+    assert (again.n_rows, again.n_late) == (7, 5)
+    assert shop.table("a") == numbers(range(5, 22))
+
+
+def test_an_edited_last_value_outranks_what_was_reached(shop, spark):
+    shop.put("a", numbers(range(10)), "k bigint, v string")
+
+    def spec(last, mappers=4):
+        text = (f"{shop.job('a')}:k:{mappers}:k:{last}",)
+        return parse_specs(spark.createDataFrame([text], "input string"), "input").drop("spec_error", "input")
+
+    registry, run = shop.intake.registry, lambda: shop.intake.run_table(shop.job("a"))
+    registry.create(spec(-1))
+    assert [run().n_rows for _ in range(2)] == [10, 0]
+    registry.update(spec(-1, mappers=2))
+    assert run().n_rows == 0
+    registry.update(spec(6))
+    assert [run().n_rows for _ in range(2)] == [3, 0]
+    registry.rewind(shop.job("a"), "7")
+    assert [run().n_rows for _ in range(2)] == [2, 0]
+    registry.delete(shop.job("a"))
+    registry.create(spec(8))
+    assert [run().n_rows for _ in range(2)] == [1, 0]
+    assert len(shop.table("a")) == 16
+
+
+def test_of_two_specs_of_a_job_one_is_refused(shop, spark):
+    texts = [(f"{shop.job('a')}:k:4:k:0",), (f"{shop.job('a')}:k:8:k:0",), (f"{shop.job('a')}:k:4:k:0",)]
+    refused = shop.intake.create_jobs(spark.createDataFrame(texts, "input string"))
+    assert rows(refused) == [(f"{shop.job('a')}:k:8:k:0", "another spec of this job comes first")]
+    assert shop.intake.registry.jobs().count() == 1
+
+
 def test_moments_as_marks_do_not_depend_on_the_session_zone(spark, shop):
     spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
     shop = Shop(spark, shop.root, shop.database)

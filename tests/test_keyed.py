@@ -127,3 +127,14 @@ def test_repeated_keys_and_null_orders(spark):
     dirty = spark.createDataFrame([(1, None, "a"), (2, None, "b"), (2, 5, "c")], "id int, o int, v string")
     assert rows(keyed.latest_per_key(dirty, ["id"], ["o"])) == [(1, None, "a"), (2, 5, "c")]
     assert rows(keyed.first_per_key(dirty, ["id"], ["o", "v"])) == [(1, None, "a"), (2, 5, "c")]
+
+
+def test_null_keys_match_nothing_and_stay(spark):
+    df = spark.createDataFrame([(1, "x"), (None, "y")], "k int, v string")
+    new = spark.createDataFrame([(None, "a"), (None, "b"), (2, "c"), (2, "c"), (1, "z")], "k int, v string")
+    for order in (None, ["v"]):
+        got = rows(keyed.insert_if_absent(df, new, ["k"], order))
+        assert got == [(1, "x"), (2, "c"), (None, "a"), (None, "b"), (None, "y")]
+        updated, unmatched = keyed.update(df, new, ["k"], order)
+        assert rows(updated) == [(1, "z"), (None, "y")]
+        assert rows(unmatched) == [(2, "c"), (None, "a"), (None, "b")]

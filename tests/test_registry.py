@@ -1,4 +1,5 @@
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from quayside.errors import JobNotFound
 from quayside.operators.specs import good_specs, parse_specs
 from quayside.plans.intake import json_lines
 from quayside.plans.registry import Registry, spec_of
+from quayside.session import child_names
 
 NAME = "mysql:localhost:testdb:testtable"
 
@@ -126,19 +128,110 @@ def test_marks_and_settings(spark, registry):
     assert {k: v for k, v in props(registry).items() if v[1] == "config"} == {"b": ("3", "config")}
 
 
-def test_two_writers_cannot_write_one_version(spark, registry, monkeypatch):
+def event_folders(registry):
+    return sorted(n for n in child_names(registry.spark, f"{registry.root}/events") if not n.startswith("_"))
+
+
+def test_writers_side_by_side_lose_nothing(spark, registry):
+    names = [f"mysql:h:d:t{i}" for i in range(4)]
+
+    def register(name):
+        own = Registry(spark, registry.root, "/data/lz")
+        own.create(specs(spark, f"{name}:id:4:id:0"))
+        own.save_marks(spark.createDataFrame([(name, "9")], "job_name string, last_val string"))
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(register, names))
+    assert rows(registry.jobs().select("job_name")) == [(n,) for n in names]
+    assert rows(registry.specs().select("job_name", "last_val")) == [(n, "9") for n in names]
+
+
+def test_the_first_of_two_that_create_one_job_counts(spark, registry, monkeypatch):
+    registry.create(specs(spark, f"{NAME}:id:4:id:0"))
+    # A second writer that looked before the first was done.
+    monkeypatch.setattr(Registry, "_events", lambda self: self._read([]))
+    registry.create(specs(spark, f"{NAME}:other:8:other:5", f"{NAME}:more:8:more:5"))
+    monkeypatch.undo()
+    assert registry.jobs().count() == 1
+    job = registry.read(NAME)
+    assert (job["split_by"], job["mappers"], job["last_val"], job["declared"]) == ("id", "4", "0", "0")
+
+
+def test_specs_of_one_job_register_once(spark, registry):
+    registry.create(specs(spark, f"{NAME}:id:4:id:0", f"{NAME}:id:4:id:0", f"{NAME}:no:4:no:0"))
+    assert registry.jobs().count() == 1
+    assert registry.read(NAME)["split_by"] == "id"
+
+
+def test_tidying_loses_nothing(spark, registry):
+    registry.create(specs(spark, f"{NAME}:id:4:id:0", "mysql:h:d:x:id:4:id:0", "mysql:h:d:y:id:4:id:0"))
+    registry.delete("mysql:h:d:x")
+    registry.update(specs(spark, f"{NAME}:id:8:id:5"))
+    registry.save_marks(spark.createDataFrame([(NAME, "41")], "job_name string, last_val string"))
+    registry.delete_property(NAME, "tool")
+    before = rows(registry.jobs()), rows(registry.props()), rows(registry.generations())
+    assert len(event_folders(registry)) > 4
+    assert registry.tidy() > 4
+    assert len(event_folders(registry)) == 1
+    assert (rows(registry.jobs()), rows(registry.props()), rows(registry.generations())) == before
+    assert registry.tidy() == 0
+    registry.create(specs(spark, "mysql:h:d:x:id:4:id:7"))
+    assert registry.read("mysql:h:d:x")["last_val"] == "7"
+
+
+def test_events_read_twice_change_nothing(spark, registry, monkeypatch):
     registry.create(specs(spark, f"{NAME}:id:4:id:0"))
+    registry.save_marks(spark.createDataFrame([(NAME, "41")], "job_name string, last_val string"))
+    before = rows(registry.jobs()), rows(registry.props()), rows(registry.generations())
     import quayside.plans.registry as module
 
-    monkeypatch.setattr(module, "child_names", lambda s, path: [])
-    with pytest.raises(Exception, match="already exists"):
-        registry._write_jobs(spark.createDataFrame([], module.JOBS_SCHEMA))
+    # The driver is lost before the old batches go.
+    monkeypatch.setattr(module, "delete_path", lambda s, path: None)
+    registry.tidy()
+    assert len(event_folders(registry)) == 3
+    assert (rows(registry.jobs()), rows(registry.props()), rows(registry.generations())) == before
 
 
-def test_a_version_cut_short_is_passed_over(spark, registry, tmp_path):
+def test_a_batch_cut_short_is_passed_over(spark, registry, monkeypatch):
     registry.create(specs(spark, f"{NAME}:id:4:id:0"))
-    (tmp_path / "registry" / "jobs" / "v0000000009").mkdir()
-    assert registry.jobs().count() == 1
+    import quayside.plans.registry as module
+
+    def lost(*_):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(module, "rename_path", lost)
+    with pytest.raises(KeyboardInterrupt):
+        registry.create(specs(spark, "mysql:h:d:x:id:4:id:0"))
+    assert rows(registry.jobs().select("job_name")) == [(NAME,)]
+
+
+def test_generations(spark, registry):
+    def mark(value):
+        registry.save_marks(spark.createDataFrame([(NAME, value)], "job_name string, last_val string"))
+
+    registry.create(specs(spark, f"{NAME}:id:4:id:0"))
+    first = registry.read(NAME)
+    mark("41")
+    registry.update(specs(spark, f"{NAME}:id:8:id:0"))
+    same = registry.read(NAME)
+    assert (same["mappers"], same["last_val"], same["generation"]) == ("8", "41", first["generation"])
+    registry.update(specs(spark, f"{NAME}:id:8:id:20"))
+    edited = registry.read(NAME)
+    assert (edited["last_val"], edited["declared"]) == ("20", "20")
+    assert edited["generation"] > first["generation"]
+    # A run that began before the edit ends after it.
+    late = [(NAME, "77", first["generation"])]
+    registry.save_marks(spark.createDataFrame(late, "job_name string, last_val string, generation long"))
+    assert registry.read(NAME)["last_val"] == "20"
+    mark("50")
+    registry.rewind(NAME, "20")
+    assert registry.read(NAME)["last_val"] == "20"
+    assert registry.read(NAME)["generation"] > edited["generation"]
+    registry.delete(NAME)
+    registry.create(specs(spark, f"{NAME}:id:4:id:0"))
+    assert registry.read(NAME)["last_val"] == "0"
+    with pytest.raises(JobNotFound):
+        registry.rewind("no:such:job:x", "1")
 
 
 def test_listing(spark, registry):
