@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 from bisect import bisect_left, bisect_right
+from functools import reduce
 from heapq import nlargest
 from itertools import accumulate, pairwise
 
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.llm.tables import whole_text, written
+from quayside.session import small_frame
 
 MAX_CELLS = 65_536
 KEY_BITS = 64
@@ -99,10 +101,7 @@ def minimax_cuts(groups: DataFrame, shards: int, max_cells: int = MAX_CELLS) ->
         while depth < KEY_BITS and sum(2 ** (depth + 1 - cells[i][1]) for i in open_cells) <= max_cells:
             depth += 1
         again = set(open_cells)
-        inside = F.lit(False)
-        for first, last in _ranges(cells, open_cells):
-            inside = inside | F.col("key").between(first, last)
-        finer = _cells(groups.where(inside), depth)
+        finer = _cells(_within(groups, [cells[i] for i in open_cells]), depth)
         cells = sorted([cell for i, cell in enumerate(cells) if i not in again] + finer)
 
 
@@ -113,18 +112,22 @@ def _cells(groups: DataFrame, bits: int) -> list[tuple[int, int, int, int]]:
     return sorted((cell << shift, bits, size, n) for cell, size, n in sums.collect())
 
 
-def _ranges(cells: list[tuple], chosen: list[int]) -> list[tuple[int, int]]:
-    """First and last key of runs of neighbouring cells."""
-    out: list[list[int]] = []
-    previous = None
-    for i in chosen:
-        first, last = cells[i][0], cells[i][0] + (1 << (KEY_BITS - cells[i][1])) - 1
-        if previous is not None and i == previous + 1:
-            out[-1][1] = last
-        else:
-            out.append([first, last])
-        previous = i
-    return [(a, b) for a, b in out]
+def _within(groups: DataFrame, cells: list[tuple]) -> DataFrame:
+    """The groups whose key lies in one of the cells, by one lookup for each depth there is.
+
+    However many cells are open, the plan stays small: they are rows, no conditions. They are
+    at most as many as the driver holds, so they go to all tasks.
+    """
+    open_at: dict[int, list[int]] = {}
+    for first, bits, *_ in cells:
+        open_at.setdefault(bits, []).append(first >> (KEY_BITS - bits))
+    found = []
+    for bits, numbers in sorted(open_at.items()):
+        wanted = small_frame(groups.sparkSession, [(n,) for n in numbers], "cell long")
+        numbered = groups.withColumn("cell", F.shiftright("key", KEY_BITS - bits))
+        found.append(numbered.join(F.broadcast(wanted), "cell", "left_semi").drop("cell"))
+    # Cells of different depths do not overlap, so no group comes twice.
+    return reduce(DataFrame.unionByName, found)
 
 
 def greedy_cuts(edges: list[int], shards: int, capacity: int) -> list[int] | None:
