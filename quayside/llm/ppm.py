@@ -18,7 +18,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.numbers import Lookup
 from quayside.llm.tables import whole_text, written
 from quayside.llm.word_hashes import slices, text_bytes, word_hashes
 
@@ -26,7 +25,7 @@ ORDER = 3  # bytes of context; texts begin as after that many zero bytes
 END = 256  # the symbol after the last byte
 SYMBOL_BITS = 9
 HELD_OUT, PARTS = 2, 7
-# Entries of a table that tasks are sent whole (12 bytes each, twice that in open addressing).
+# Entries of both tables together that tasks are sent whole, 16 bytes each: 128 MB a worker at most.
 SENT_ENTRIES = 8_000_000
 FLUSH = 1 << 23  # runs counted together within a task
 WORDS, RUNS = 0, 1
@@ -227,20 +226,36 @@ def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.bincount(owner, weights=values, minlength=len(counts))
 
 
+def _by_code(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Codes in order, and their values."""
+    codes, values = (column.to_numpy() for column in table.toArrow().columns)
+    order = np.argsort(codes)
+    return codes[order], values[order]
+
+
+def _looked_up(table: tuple[np.ndarray, np.ndarray], codes: np.ndarray, default: float) -> np.ndarray:
+    """Values of codes by binary search, each distinct code looked up once."""
+    known, values = table
+    if not len(known):
+        return np.full(len(codes), default)
+    distinct, which = np.unique(codes, return_inverse=True)
+    at = np.minimum(np.searchsorted(known, distinct), len(known) - 1)
+    return np.where(known[at] == distinct, values[at], default)[which]
+
+
 def _by_sending(docs: DataFrame, known: DataFrame, logs: DataFrame) -> DataFrame:
-    context = docs.sparkSession.sparkContext
-    tables = context.broadcast([[c.to_numpy() for c in t.toArrow().columns] for t in (known, logs)])
+    # Sorted arrays are searched as they were sent, so a worker holds them once and nothing beside them.
+    tables = docs.sparkSession.sparkContext.broadcast([_by_code(known), _by_code(logs)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Lookup(tables.value[0][0], tables.value[0][1].astype(np.float32), np.float32(0))
-        runs = Lookup(tables.value[1][0], tables.value[1][1], np.float64("nan"))
+        words, runs = tables.value
         for batch in batches:
             raw, edges = text_bytes(batch.column(1))
             for first, last in slices(edges):
                 part = edges[first : last + 1]
                 body, cuts = raw[part[0] : part[-1]], part - part[0]
                 codes, n_words = _word_codes(body, cuts)
-                values = words.get(codes)
+                values = _looked_up(words, codes, 0.0)
                 run_codes, n_runs = _runs(body, cuts)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -249,7 +264,7 @@ def _by_sending(docs: DataFrame, known: DataFrame, logs: DataFrame) -> DataFrame
                         pa.array(n_words, pa.int64()),
                         pa.array(_sums(values > 0, n_words).astype(np.int64)),
                         pa.array(_sums(values, n_words)),
-                        pa.array(_sums(runs.get(run_codes), n_runs)),
+                        pa.array(_sums(_looked_up(runs, run_codes, float("nan")), n_runs)),
                     ],
                     names=["doc_id", "held_out", "n_words", "n_known", "known_sum", "score"],
                 )
