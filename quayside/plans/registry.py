@@ -96,16 +96,17 @@ class Registry:
         self.spark = spark
         self.root = root
         self.landing_root = landing_root
+        self._folded: tuple[tuple[str, ...], DataFrame | None] = ((), None)
 
     def jobs(self) -> DataFrame:
-        return _jobs(self._events())
+        return _jobs(self._live_events())
 
     def props(self) -> DataFrame:
-        return _props(self._events())
+        return _props(self._live_events())
 
     def generations(self) -> DataFrame:
         """job_name, generation (when its last value was last set) and declared (that value)."""
-        return _generations(self._events())
+        return _generations(self._live_events())
 
     def search_jobs(
         self,
@@ -134,8 +135,8 @@ class Registry:
 
     def read(self, job_name: str) -> Row:
         """One job with its spec, put together from its properties."""
-        events = self._events(job_name)
-        found = self._details(_jobs(events), _props(events), _generations(events)).first()
+        live = keyed.search(self._live_events(), job_name=job_name)
+        found = self._details(_jobs(live), _props(live), _generations(live)).first()
         if found is None:
             raise JobNotFound(f"job {job_name} does not exist")
         return found
@@ -153,14 +154,13 @@ class Registry:
 
     def create(self, specs: DataFrame, start: str = START_AFTER) -> None:
         """Register the specs whose job is new, each job once; jobs that exist stay as they are."""
-        new = keyed.missing_from(specs, self.jobs(), JOB_KEY)
-        new = self._taken(keyed.first_per_key(new, JOB_KEY, _spec_order(new)))
+        new = _once(specs).join(self.jobs().select(*JOB_KEY), JOB_KEY, "left_anti")
+        new = self._taken(new)
         self._append(CREATE, self._job_rows(new), self._prop_rows(new, start))
 
     def save(self, specs: DataFrame) -> None:
         """Register new jobs, and write the properties of new and old ones."""
-        specs = keyed.first_per_key(specs, JOB_KEY, _spec_order(specs))
-        found = self._taken(keyed.with_found(specs, self.jobs(), JOB_KEY))
+        found = self._taken(keyed.with_found(_once(specs), self.jobs(), JOB_KEY))
         new, old = found.where(~F.col("found")).drop("found"), found.where("found").drop("found")
         self._append(CREATE, self._job_rows(new), self._prop_rows(new))
         self._append(PUT, self._changed(self._prop_rows(old, None)))
@@ -173,7 +173,7 @@ class Registry:
         use `rewind`.
         """
         found = self._taken(keyed.with_found(specs, self.jobs(), JOB_KEY))
-        known = keyed.first_per_key(found.where("found").drop("found"), JOB_KEY, _spec_order(specs))
+        known = _once(found.where("found").drop("found"))
         self._append(PUT, self._changed(self._prop_rows(known, None)))
         return found.where(~F.col("found")).drop("found")
 
@@ -328,15 +328,26 @@ class Registry:
         """The specs as they are now, a row per table, so that one look at the registry serves all that follows."""
         return small_frame(self.spark, [tuple(row) for row in specs.collect()], specs.schema)
 
-    def _events(self, job_name: str | None = None) -> DataFrame:
+    def _live_events(self) -> DataFrame:
+        """The events that count, folded anew only when there are other batches than the last time.
+
+        Batches never change, so their names tell. What is kept is some rows for each table of
+        a database, held by the driver, which makes every look at it a plan without a scan.
+        """
         folder = f"{self.root}/events"
-        names = [n for n in child_names(self.spark, folder) if not n.startswith("_")]
-        return keyed.search(self._read([f"{folder}/{name}" for name in names]), job_name=job_name)
+        names = tuple(n for n in child_names(self.spark, folder) if not n.startswith("_"))
+        known, live = self._folded
+        if live is None or names != known:
+            found = _live(self._read([f"{folder}/{name}" for name in names]))
+            live = self.spark.createDataFrame(found.toArrow(), found.schema).coalesce(1)
+            self._folded = (names, live)
+        return live
 
     def _read(self, paths: list[str]) -> DataFrame:
         if not paths:
             return small_frame(self.spark, [], EVENT_SCHEMA)
-        return self.spark.read.schema(EVENT_SCHEMA).parquet(*paths)
+        # A registry is some rows for each table of a database: in one partition no fold shuffles.
+        return self.spark.read.schema(EVENT_SCHEMA).parquet(*paths).coalesce(1)
 
 
 def _names(schema: str) -> list[str]:
@@ -347,9 +358,11 @@ def _order(prefix: str = "") -> Column:
     return F.struct(*(F.col(prefix + name) for name in EVENT_ORDER))
 
 
-def _spec_order(specs: DataFrame) -> list[str]:
-    """Columns that tell the specs of one job apart, so that the same one counts on every run."""
-    return [name for name in specs.columns if name not in JOB_KEY]
+def _once(specs: DataFrame) -> DataFrame:
+    """One spec of each job, the first by its fields, so that the same one counts on every run."""
+    others = [name for name in specs.columns if name not in JOB_KEY]
+    first = specs.groupBy(*JOB_KEY).agg(F.min(F.struct(*others)).alias("_first"))
+    return first.select(*JOB_KEY, "_first.*").select(*specs.columns)
 
 
 def _deletions(events: DataFrame) -> DataFrame:
@@ -363,21 +376,20 @@ def _last(events: DataFrame, keys: list[str]) -> DataFrame:
     return events.groupBy(*keys).agg(whole).select(*keys, "_event.*").select(*events.columns)
 
 
-def _jobs(events: DataFrame) -> DataFrame:
-    rows = _live(events).where(F.col("prop_name").isNull())
+def _jobs(live: DataFrame) -> DataFrame:
+    rows = live.where(F.col("prop_name").isNull())
     return _last(rows, JOB_KEY).select(*_names(JOBS_SCHEMA))
 
 
-def _props(events: DataFrame) -> DataFrame:
+def _props(live: DataFrame) -> DataFrame:
     """The last event of each property, reached last values of an earlier generation left out."""
-    live = _live(events)
     stale = (F.col("op") == MARK) & (F.coalesce("generation", F.lit(0)) < F.coalesce("_set_at", F.lit(0)))
     rows = live.where(F.col("prop_name").isNotNull() & F.col("_has_job") & ~stale)
     return _last(rows, PROP_KEY).where(F.col("op") != DELETE).select(*_names(PROPS_SCHEMA))
 
 
-def _generations(events: DataFrame) -> DataFrame:
-    return _last(_live(events).where(_sets_last_value()), JOB_KEY).select(
+def _generations(live: DataFrame) -> DataFrame:
+    return _last(live.where(_sets_last_value()), JOB_KEY).select(
         "job_name", F.col("at").alias("generation"), F.col("prop_val").alias("declared")
     )
 

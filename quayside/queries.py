@@ -717,6 +717,48 @@ def resume_import(spark, sf_dir):
     return spark.table(f"{database}.orders")
 
 
+@query(
+    """
+    select *, case when o_orderstatus <> 'P' then o_orderkey end as check_key from orders
+    """
+)
+def late_keys(spark, sf_dir):
+    """A table whose urgent orders turn up after the first run, below its last value; some rows have no check value."""
+    orders = table(spark, sf_dir, "orders").withColumn(
+        "check_key", F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey"))
+    )
+    early, whole = new_dir(spark, "source"), new_dir(spark, "source")
+    orders.where("o_orderpriority <> '1-URGENT'").write.parquet(f"{early}/orders.parquet")
+    orders.write.parquet(f"{whole}/orders.parquet")
+    low, _ = profile.split_bounds(orders, "check_key") or (0, 0)
+    intake, database = _intake(spark, early), _fresh_database(spark)
+    job = f"parquet:local:{database}:orders"
+    intake.create_jobs(small_frame(spark, [(f"{job}:o_orderkey:4:check_key:{low - 1}",)], "input string"))
+    for folder in (early, whole):
+        intake.connect = lambda db_type, server, name, at=folder: ParquetDatabase(spark, name, at)
+        intake.run_table(job)
+    return spark.table(f"{database}.orders")
+
+
+@query(
+    """
+    select * from orders union all
+    select * from orders where o_orderkey > (select (min(o_orderkey) + max(o_orderkey)) // 2 from orders)
+    """
+)
+def rewind_import(spark, sf_dir):
+    """A job set back to the middle after its run: what comes after it is imported again, and then no more."""
+    low, top = profile.split_bounds(table(spark, sf_dir, "orders"), "o_orderkey") or (0, 0)
+    intake, database = _intake(spark, sf_dir), _fresh_database(spark)
+    job = f"parquet:local:{database}:orders"
+    intake.create_jobs(small_frame(spark, [(f"{job}:o_orderkey:4:o_orderkey:{low - 1}",)], "input string"))
+    intake.run_table(job)
+    intake.registry.rewind(job, str((low + top) // 2))
+    intake.run_table(job)
+    intake.run_table(job)
+    return spark.table(f"{database}.orders")
+
+
 @query(
     _union_all(
         f"(select '{name}' as table_name, count(*) as n_rows, count(*) as landed, "

@@ -126,3 +126,21 @@ def test_a_hot_value_is_no_tasks_load(spark):
     landed = source.where("k <> 5 or t <> 3")
     out = late.late_rows(source, landed, "k", None, "200000")
     assert out.count() == source.where("k = 5 and t = 3").count()
+
+
+def test_the_database_makes_the_same_sums(spark, monkeypatch):
+    import duckdb
+
+    from quayside.sources.databases import JdbcDatabase
+
+    values = [(i * i % 977 - 200,) for i in range(700)] + [(None,), (5,), (5,)]
+    df = spark.createDataFrame(values, "`a k` long")
+    monkeypatch.setattr(JdbcDatabase, "table", lambda self, name: df)
+    connection = duckdb.connect()
+    connection.execute('CREATE TABLE "t" ("a k" BIGINT)')
+    connection.executemany('INSERT INTO "t" VALUES (?)', values)
+    query = JdbcDatabase(spark, "jdbc:other://h/d", "d").range_query("t", "a k", "-150", "600", -149, 37)
+    theirs = sorted(tuple(int(x) for x in row) for row in connection.execute(query).fetchall())
+    inside = df.where("`a k` > -150 and `a k` <= 600")
+    ours = late.range_sums(inside, F.col("`a k`"), late.Ranges(-149, 37))
+    assert theirs == sorted(tuple(int(x) for x in row) for row in ours.collect())

@@ -148,8 +148,10 @@ def test_writers_side_by_side_lose_nothing(spark, registry):
 
 def test_the_first_of_two_that_create_one_job_counts(spark, registry, monkeypatch):
     registry.create(specs(spark, f"{NAME}:id:4:id:0"))
+    import quayside.plans.registry as module
+
     # A second writer that looked before the first was done.
-    monkeypatch.setattr(Registry, "_events", lambda self: self._read([]))
+    monkeypatch.setattr(Registry, "_live_events", lambda self: module._live(self._read([])))
     registry.create(specs(spark, f"{NAME}:other:8:other:5", f"{NAME}:more:8:more:5"))
     monkeypatch.undo()
     assert registry.jobs().count() == 1
