@@ -50,12 +50,15 @@ def run_view(events: DataFrame, keys: list[str] | None = None) -> DataFrame:
 
 
 def run_states(events: DataFrame) -> DataFrame:
-    """One row per run: whether its load finished, the mark it reached, its last event."""
+    """One row per run: whether its load finished, the mark it reached, its last event.
+
+    Also the generation of the last value it ran under, where the events tell.
+    """
     done = (F.col("phase") == LOAD) & (F.col("status") == FINISHED)
+    told = ["mark", *(["generation"] if "generation" in events.columns else [])]
     return events.groupBy("job_name", "run_id").agg(
         F.max(done).alias("loaded"),
-        F.max_by("mark", F.when(done, _order())).alias("mark"),
-        F.max_by("generation", F.when(done, _order())).alias("generation"),
+        *(F.max_by(name, F.when(done, _order())).alias(name) for name in told),
         F.max("at").alias("last_at"),
     )
 
