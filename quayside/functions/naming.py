@@ -32,8 +32,17 @@ def build_spec(*parts: Column) -> Column:
 
 
 def spec_parts(spec: Column) -> Column:
-    """Fields of a spec as an array: inner empty fields stay, trailing empty ones go."""
-    return F.split(F.rtrim(spec, F.lit(SPEC_SEPARATOR)), SPEC_SEPARATOR)
+    """Fields of a spec as an array: inner empty fields stay, trailing empty ones go.
+
+    A server may carry a port: a third field of digits only belongs to the second.
+    """
+    fields = F.split(F.rtrim(spec, F.lit(SPEC_SEPARATOR)), SPEC_SEPARATOR)
+    with_port = F.concat(
+        F.slice(fields, 1, 1),
+        F.array(F.array_join(F.slice(fields, 2, 2), SPEC_SEPARATOR)),
+        F.slice(fields, 4, F.size(fields)),
+    )
+    return F.when(F.get(fields, F.lit(2)).rlike(r"^[0-9]+$"), with_port).otherwise(fields)
 
 
 def spec_part(parts: Column, field: str) -> Column:

@@ -17,6 +17,9 @@ GROUP_SIZE = 10
 
 # Values of the order column looked at per slice when the slices are laid out.
 _PROBES_PER_SLICE = 100
+# About the most rows of a slice, and the fewest that are worth one of their own.
+SLICE_ROWS = 4_000_000
+LEAST_SLICE_ROWS = 100_000
 
 
 def number_rows(
@@ -24,11 +27,11 @@ def number_rows(
 ) -> DataFrame:
     """Number the rows of each key 1, 2, 3 … by `order`, a unique number, date or time.
 
+    There are as many slices as the rows need (`slices_for`), unless `slices` says how many.
     A row's number is its place within its slice plus the rows of its key in earlier
     slices. Those earlier rows come in as one extra row per key and slice that sorts first
     and weighs as much as they do, so one running sum gives the number without a join.
     """
-    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sliced = _with_slice(df, order, slices)
     counts = sliced.groupBy(*by, "_slice").agg(F.count("*").alias("_n"))
     # At most one row per slice and key: this window stays small for any key.
@@ -83,18 +86,27 @@ def sliding_groups(
     blocks = F.when(reaches_back, F.array(own, own - 1)).otherwise(F.array(own))
     dealt = numbered.withColumn("_own", own).withColumn("_block", F.explode(blocks))
     run = Window.partitionBy(*by, "_block").orderBy("_row_no").rowsBetween(0, size - 1)
-    members = dealt.withColumn("members", F.collect_list(order).over(run))
-    is_run = (F.size("members") == size) | (F.col("_row_no") == 1)
-    return members.where((F.col("_own") == F.col("_block")) & is_run).select(
-        *by,
-        F.col(order).alias("first_key"),
-        F.element_at("members", -1).alias("last_key"),
-        F.size("members").alias("n"),
-        "members",
+    # The list is a column of its own, so a reader who drops it does not pay for it.
+    runs = dealt.withColumns(
+        {
+            "last_key": F.last(order).over(run),
+            "n": F.count(F.lit(1)).over(run).cast("int"),
+            "members": F.collect_list(order).over(run),
+        }
+    )
+    is_run = (F.col("n") == size) | (F.col("_row_no") == 1)
+    return runs.where((F.col("_own") == F.col("_block")) & is_run).select(
+        *by, F.col(order).alias("first_key"), "last_key", "n", "members"
     )
 
 
-def _with_slice(df: DataFrame, order: str, slices: int) -> DataFrame:
+def slices_for(n_rows: int, tasks: int) -> int:
+    """How many slices rows are cut into: none holds much more than SLICE_ROWS whatever the
+    setting, and there is one for each task if that leaves LEAST_SLICE_ROWS to each."""
+    return max(-(-n_rows // SLICE_ROWS), min(tasks, n_rows // LEAST_SLICE_ROWS), 1)
+
+
+def _with_slice(df: DataFrame, order: str, slices: int | None) -> DataFrame:
     """Add `_slice`: a whole number that rises with `order`."""
     place = _as_number(F.col(order), df.schema[order].dataType)
     edges = _edges(df.select(place.alias("_place")), slices)
@@ -107,12 +119,14 @@ def _with_slice(df: DataFrame, order: str, slices: int) -> DataFrame:
     return slicer.transform(placed).withColumn("_slice", F.col("_slice").cast("int")).drop("_place")
 
 
-def _edges(places: DataFrame, slices: int) -> list[float]:
+def _edges(places: DataFrame, slices: int | None) -> list[float]:
     """At most `slices - 1` values that part the rows about evenly.
 
     Only the edges are estimated, from a thin sample; every row still gets its slice.
     """
     n_rows = places.count()
+    tasks = int(places.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = slices or slices_for(n_rows, tasks)
     if slices < 2 or n_rows == 0:
         return []
     share = min(1.0, slices * _PROBES_PER_SLICE / n_rows)

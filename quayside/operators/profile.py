@@ -8,12 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quayside.functions.naming import named
+
 WHOLE_NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
 def split_bounds(df: DataFrame, split_by: str) -> tuple[int, int] | None:
     """Smallest and largest split value; none for a table without any."""
-    low, high = df.agg(F.min(split_by), F.max(split_by)).first()
+    low, high = df.agg(F.min(named(split_by)), F.max(named(split_by))).first()
     return None if low is None else (low, high)
 
 
@@ -27,7 +29,7 @@ def split_report(df: DataFrame, split_by: str, n_splits: int) -> DataFrame:
     width = (high - low) // n_splits + 1
     split_id = F.expr(f"CAST((`{split_by}` - {low}L) DIV {width}L AS int)")
     return (
-        df.where(F.col(split_by).isNotNull())
+        df.where(named(split_by).isNotNull())
         .groupBy(split_id.alias("split_id"))
         .agg(F.count("*").alias("n_rows"))
         .select(
@@ -54,11 +56,11 @@ def column_profile(tables: dict[str, DataFrame]) -> DataFrame:
     for table, df in tables.items():
         columns = whole_number_columns(df)
         if columns:
-            values = F.array(*(F.col(c).cast("long") for c in columns))
+            values = F.array(*(named(c).cast("long") for c in columns))
             pairs = df.select(F.posexplode(values).alias("_no", "value"))
             stacked.append(pairs.withColumn("_no", F.col("_no") + len(names)))
             names += [(table, c) for c in columns]
-    named = F.array(
+    name_of = F.array(
         *(F.struct(F.lit(t).alias("table_name"), F.lit(c).alias("column_name")) for t, c in names)
     )
     return (
@@ -73,7 +75,7 @@ def column_profile(tables: dict[str, DataFrame]) -> DataFrame:
             F.min("value").alias("lo"),
             F.max("value").alias("hi"),
         )
-        .withColumn("_name", F.get(named, "_no"))
+        .withColumn("_name", F.get(name_of, "_no"))
         .select("_name.*", "n_rows", "n_nulls", "n_distinct", "lo", "hi")
     )
 
@@ -87,22 +89,42 @@ def find_key(df: DataFrame) -> tuple[str, int] | None:
     """The first whole-number column that is unique and never null, and its smallest value.
 
     One pass over minimum, maximum and nulls rules out columns: with fewer values in range
-    than rows, some value repeats. Only the rest are checked for repeats, in column order
-    and up to the first key.
+    than rows, some value repeats. The rest are checked for repeats together, in a second pass.
     """
     columns = whole_number_columns(df)
     if not columns:
         return None
     facts = df.agg(
         F.count("*").alias("n_rows"),
-        *(F.struct(F.count(c), F.min(c), F.max(c)).alias(f"c{i}") for i, c in enumerate(columns)),
+        *(
+            F.struct(F.count(c), F.min(c), F.max(c)).alias(f"c{i}")
+            for i, c in enumerate(map(named, columns))
+        ),
     ).first()
+    lows = {}
     for i, column in enumerate(columns):
         n_values, low, high = facts[f"c{i}"]
-        if 0 < facts["n_rows"] == n_values <= high - low + 1 and _is_unique(df, column):
-            return column, low
-    return None
+        if 0 < facts["n_rows"] == n_values <= high - low + 1:
+            lows[column] = low
+    n_distinct = distinct_values(df, list(lows)) if lows else {}
+    return next(((c, low) for c, low in lows.items() if n_distinct[c] == facts["n_rows"]), None)
+
+
+# Values that share one bit set: as many as a long has bits.
+_BITS = 64
 
 
-def _is_unique(df: DataFrame, column: str) -> bool:
-    return df.groupBy(column).count().where("count > 1").isEmpty()
+def distinct_values(df: DataFrame, columns: list[str]) -> dict[str, int]:
+    """Exact number of distinct values of each whole-number column, nulls aside, in one pass.
+
+    Values are stacked to (column, run of 64 values) with one bit for the value's place. Bits
+    are merged before the one shuffle, so a hot value is one row a task and neighbouring values
+    share one; a scattered column sends no more than its own values.
+    """
+    values = F.array(*(named(c).cast("long") for c in columns))
+    stacked = df.select(F.posexplode(values).alias("no", "value")).where("value is not null")
+    bits = stacked.groupBy("no", F.shiftright("value", 6).alias("run")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, CAST(value & {_BITS - 1} AS int))")).alias("bits")
+    )
+    counted = bits.groupBy("no").agg(F.sum(F.bit_count("bits")).alias("n")).collect()
+    return {**dict.fromkeys(columns, 0), **{columns[r["no"]]: r["n"] for r in counted}}

@@ -11,9 +11,13 @@ from pyspark.sql import types as T
 
 from quayside.errors import SchemaConflict
 from quayside.functions.clock import epoch_millis
+from quayside.functions.naming import named
 from quayside.session import small_frame
 
-# The only types that widen, narrow to wide.
+# The digits of the longest decimal.
+MOST_DIGITS = 38
+
+# The only types that widen besides decimals, narrow to wide.
 _WHOLE = (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType())
 WIDENINGS = {
     **{(a, b): b for i, a in enumerate(_WHOLE) for b in _WHOLE[i + 1 :]},
@@ -42,7 +46,7 @@ def flatten_types(df: DataFrame) -> DataFrame:
     """Times as epoch milliseconds and decimals as text, for readers that know plain types only."""
 
     def plain(field: T.StructField) -> Column:
-        col = F.col(f"`{field.name}`")
+        col = named(field.name)
         if isinstance(field.dataType, T.DecimalType):
             return col.cast("string").alias(field.name)
         if isinstance(field.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
@@ -101,9 +105,9 @@ def schema_diff(source: DataFrame, target: DataFrame) -> DataFrame:
 
 def values_per_field(df: DataFrame) -> DataFrame:
     """How many rows hold a value in each field: (field, n_values)."""
-    counted = df.agg(*(F.count(f"`{c}`").alias(c) for c in df.columns))
+    counted = df.agg(*(F.count(named(c)).alias(c) for c in df.columns))
     pairs = (
-        F.struct(F.lit(c.lower()).alias("field"), F.col(f"`{c}`").alias("n_values"))
+        F.struct(F.lit(c.lower()).alias("field"), named(c).alias("n_values"))
         for c in df.columns
     )
     return counted.select(F.inline(F.array(*pairs)))
@@ -122,7 +126,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(
         *(
             _fit(
-                F.col(f"`{present[f.name.lower()].name}`") if f.name.lower() in present else None,
+                named(present[f.name.lower()].name) if f.name.lower() in present else None,
                 present[f.name.lower()].dataType if f.name.lower() in present else None,
                 f.dataType,
                 f.name,
@@ -185,7 +189,7 @@ def _merge_types(source: T.DataType, target: T.DataType, path: str) -> T.DataTyp
         return T.MapType(key, _merge_types(source.valueType, target.valueType, path), True)
     if source == target:
         return target
-    wider = WIDENINGS.get((source, target)) or WIDENINGS.get((target, source))
+    wider = _wider(source, target)
     if wider is None:
         raise SchemaConflict(
             path, f"cannot merge {source.simpleString()} with {target.simpleString()}"
@@ -193,6 +197,19 @@ def _merge_types(source: T.DataType, target: T.DataType, path: str) -> T.DataTyp
     return wider
 
 
+def _wider(a: T.DataType, b: T.DataType) -> T.DataType | None:
+    """The narrowest type that holds every value of both, none if there is none.
+
+    Of decimals it has the more digits before the point and the more behind it, up to the 38
+    that a decimal can have.
+    """
+    if isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType):
+        scale = max(a.scale, b.scale)
+        precision = scale + max(a.precision - a.scale, b.precision - b.scale)
+        return T.DecimalType(precision, scale) if precision <= MOST_DIGITS else None
+    return WIDENINGS.get((a, b)) or WIDENINGS.get((b, a))
+
+
 def _fit(col: Column | None, given: T.DataType | None, wanted: T.DataType, path: str) -> Column:
     """`col` of type `given` as type `wanted`, matching nested fields by name."""
     if col is None:
@@ -222,7 +239,7 @@ def _fit(col: Column | None, given: T.DataType | None, wanted: T.DataType, path:
         return F.transform_values(
             keyed, lambda _, v: _fit(v, given.valueType, wanted.valueType, path)
         )
-    if (given, wanted) not in WIDENINGS:
+    if _wider(given, wanted) != wanted:
         raise SchemaConflict(
             path, f"cannot store {given.simpleString()} as {wanted.simpleString()}"
         )

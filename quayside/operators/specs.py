@@ -49,7 +49,11 @@ def rejected_specs(parsed: DataFrame, spec: str) -> DataFrame:
 
 
 def describe_jobs(specs: DataFrame, landing_root: str) -> DataFrame:
-    """What a job needs besides its spec fields; it is enabled when it has a split column."""
+    """What a job needs besides its spec fields; it is enabled when it has a split column.
+
+    In its folder the colon of a port, which file systems refuse, becomes `_`.
+    """
+    folder = F.replace(F.col("server"), F.lit(naming.SPEC_SEPARATOR), F.lit("_"))
     return (
         specs.withColumn(
             "connect_string",
@@ -57,7 +61,7 @@ def describe_jobs(specs: DataFrame, landing_root: str) -> DataFrame:
         )
         .withColumn(
             "target_dir",
-            naming.landing_path(landing_root, F.col("server"), F.col("database"), F.col("table")),
+            naming.landing_path(landing_root, folder, F.col("database"), F.col("table")),
         )
         .withColumn("enabled", F.col("split_by") != "")
     )

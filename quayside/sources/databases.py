@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Collection
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +20,8 @@ from quayside.session import child_names, small_frame
 from quayside.sources.incremental import high_mark, increment
 from quayside.sources.late import FOLD, check_type, late_rows
 
+log = logging.getLogger(__name__)
+
 TABLES_SCHEMA = "table_schema string, table_name string"
 COLUMNS_SCHEMA = f"{TABLES_SCHEMA}, column_name string, extra string, last_val string"
 
@@ -42,11 +47,24 @@ class LakeDatabase:
 
     def catalogue(self, known: Collection[str] = ()) -> tuple[DataFrame, DataFrame]:
         """Tables not known yet and their key columns. Files mark no key, so one is looked
-        for in the rows; known tables are not read again."""
+        for in the rows; known tables are not read again. A table that cannot be read is
+        warned of and left out, so that the next look finds it."""
         mark = AUTO_KEY_MARK.strip("%")
-        names = [name for name in self.table_names() if name not in known]
+        wanted = [name for name in self.table_names() if name not in known]
+        unread = []
+
+        def key_of(name: str) -> tuple[str, int] | None:
+            try:
+                return find_key(self.table(name))
+            except (PySparkException, Py4JJavaError):
+                log.warning("Table %s of %s cannot be read", name, self.name, exc_info=True)
+                unread.append(name)
+                return None
+
         with ThreadPoolExecutor(GROUP_SIZE) as pool:
-            found = pool.map(lambda name: find_key(self.table(name)), names)
+            by_name = dict(zip(wanted, pool.map(key_of, wanted), strict=True))
+        names = [name for name in wanted if name not in unread]
+        found = [by_name[name] for name in names]
         keys = [
             (self.name, name, key[0], mark, str(key[1] - 1))
             for name, key in zip(names, found, strict=True)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quayside.functions.naming import named
 from quayside.functions.text import join_escaped, split_escaped, text_to_null
 from quayside.session import path_exists, small_frame
 
@@ -73,4 +74,4 @@ def read_escaped(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 
 def write_escaped(df: DataFrame, path: str) -> None:
-    df.select(join_escaped(*(F.col(f"`{c}`") for c in df.columns)).alias("value")).write.text(path)
+    df.select(join_escaped(*(named(c) for c in df.columns)).alias("value")).write.text(path)

@@ -331,3 +331,34 @@ def test_sources_with_other_columns_evolve_their_target(shop):
     shop.put("a", [(1, "x", 0.5), (2**40, "y", 1.5)], "Id bigint, v string, W double")
     shop.intake.run_table(shop.job("a"))
     assert shop.table("a") == [(1, "x", None), (2**40, "y", 1.5)]
+
+
+def test_ports_and_odd_names_go_all_the_way(spark, shop):
+    shop.put("odd", [(1, 7, "x"), (2, 8, "y")], "`a.b` bigint, `c`` d` int, `e.f` string")
+    shop.put("plain", [(1,)], "id int")
+    assert shop.intake.initialise("mysql", "h:3306", shop.database).count() == 0
+    job = f"mysql:h:3306:{shop.database}:odd"
+    assert rows(shop.intake.registry.jobs().select("job_name", "server", "enabled")) == [
+        (job, "h:3306", True), (f"mysql:h:3306:{shop.database}:plain", "h:3306", True),
+    ]
+    seen = []
+    connect = shop.intake.connect
+    shop.intake.connect = lambda *place: seen.append(place) or connect(*place)
+    assert shop.intake.run_table(job).n_rows == 2
+    assert seen == [("mysql", "h:3306", shop.database)]
+    shop.put("odd", [(1, 7, "x"), (2, 8, "y"), (3, 9, "z"), (0, 6, "late")], "`a.b` bigint, `c`` d` int, `e.f` string")
+    again = shop.intake.run_table(job)
+    assert (again.n_rows, again.n_late) == (2, 1)
+    assert shop.table("odd") == [(0, 6, "late"), (1, 7, "x"), (2, 8, "y"), (3, 9, "z")]
+
+
+def test_a_table_that_cannot_be_read_holds_up_no_others(shop, tmp_path, caplog):
+    shop.put("good", [(1,)], "id int")
+    (tmp_path / "source" / "bad.parquet").mkdir()
+    (tmp_path / "source" / "bad.parquet" / "part-0.parquet").write_bytes(b"no parquet")
+    assert shop.initialise().count() == 0
+    assert rows(shop.intake.registry.jobs().select("table_name")) == [("good",)]
+    assert "Table bad" in caplog.text
+    shop.put("bad", [(4,)], "id int")
+    shop.initialise()
+    assert rows(shop.intake.registry.jobs().select("table_name")) == [("bad",), ("good",)]

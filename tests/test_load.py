@@ -107,3 +107,16 @@ def test_missing_landing_and_strange_layout_raise(spark, place, tmp_path):
 def test_unknown_schema_change_is_none(spark, place):
     place(spark.range(1), "r1")
     assert not load.evolve_target(spark, place.table, place.path, spark.range(1).schema)
+
+
+def test_decimals_widen_over_old_files(spark, place):
+    steps = ["decimal(5,1)", "decimal(12,2)", "decimal(20,4)", "decimal(7,3)"]
+    for i, kind in enumerate(steps):
+        place(spark.sql(f"SELECT {i} AS k, CAST('-12.5' AS {kind}) AS x, array(CAST(3 AS {kind})) AS a"), f"r{i}")
+    table = spark.table(place.table)
+    assert table.schema.simpleString() == "struct<k:int,x:decimal(20,4),a:array<decimal(20,4)>>"
+    assert rows(table.selectExpr("k", "CAST(x AS double)", "CAST(a[0] AS double)")) == [
+        (i, -12.5, 3.0) for i in range(4)
+    ]
+    with pytest.raises(SchemaConflict):
+        place(spark.sql("SELECT 9 AS k, CAST(1 AS decimal(38,0)) AS x, array(CAST(3 AS decimal(5,1))) AS a"), "r9")

@@ -49,6 +49,40 @@ def test_find_key(spark, data, found):
     assert profile.find_key(spark.createDataFrame(data, "a int, b bigint")) == found
 
 
+def test_distinct_values_are_exact(spark):
+    rng = random.Random(5)
+    ends = [-(2**63), 2**63 - 1, -1, 0, 63, 64, -64, -65]
+    data = [(rng.choice(ends), rng.randrange(-200, 200), None if i % 3 else i) for i in range(900)]
+    df = spark.createDataFrame(data, "`a.b` bigint, b int, c bigint").repartition(5)
+    found = profile.distinct_values(df, ["a.b", "b", "c"])
+    assert found == {"a.b": 8, "b": len({b for _, b, _ in data}), "c": 300}
+    assert profile.distinct_values(df.limit(0), ["b"]) == {"b": 0}
+
+
+def test_keys_of_odd_names(spark):
+    df = spark.createDataFrame([(1, 4), (1, 5)], "`a.b` int, `c`` d` bigint")
+    assert profile.find_key(df) == ("c` d", 4)
+    assert rows(profile.split_report(df, "a.b", 2)) == [(0, 1, 2, 2)]
+
+
+def test_slices_follow_the_rows():
+    assert groups.slices_for(0, 8) == groups.slices_for(150_000, 8) == 1
+    assert groups.slices_for(500_000, 8) == 5
+    assert groups.slices_for(12_000_000, 8) == 8
+    # A fixed setting does not make slices grow with the rows.
+    for n in (10**9, 10**11, 10**12):
+        assert n / groups.slices_for(n, 200) <= groups.SLICE_ROWS
+
+
+def test_the_largest_window_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(groups, "SLICE_ROWS", 200)
+    df, data = _hot(spark, 4000)
+    sliced = groups._with_slice(df, "o", None)
+    assert sliced.groupBy("k", "_slice").count().agg(F.max("count")).first()[0] < 400
+    expected = sorted(((k, o, i) for k, v in _numbered(data).items() for i, o in enumerate(v, 1)), key=str)
+    assert sorted(map(tuple, groups.number_rows(df, ["k"], "o").collect()), key=str) == expected
+
+
 def _hot(spark, n, seed=1):
     """A third of the rows share one key, and its order values lie close together."""
     rng = random.Random(seed)

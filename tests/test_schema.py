@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import rows
@@ -50,7 +51,7 @@ def test_merge_goes_into_nested_types():
         ("a int", "a string", "a"),
         ("a bigint", "a double", "a"),
         ("s struct<x: int>", "s struct<x: string>", "s.x"),
-        ("a decimal(10,2)", "a decimal(12,2)", "a"),
+        ("a decimal(38,0)", "a decimal(38,1)", "a"),
     ],
 )
 def test_types_that_do_not_widen_conflict(source, target, field):
@@ -107,3 +108,26 @@ def test_union_by_name(spark):
 def test_values_per_field(spark):
     df = spark.createDataFrame([(1, None), (2, "x")], "A int, b string")
     assert rows(schema.values_per_field(df)) == [("a", 2), ("b", 1)]
+
+
+@pytest.mark.parametrize(
+    "one, other, merged",
+    [
+        ("decimal(10,2)", "decimal(12,2)", "decimal(12,2)"),
+        ("decimal(10,2)", "decimal(10,4)", "decimal(12,4)"),
+        ("decimal(5,0)", "decimal(5,5)", "decimal(10,5)"),
+        ("decimal(38,10)", "decimal(20,2)", "decimal(38,10)"),
+    ],
+)
+def test_decimals_merge_to_hold_both(spark, one, other, merged):
+    a, b = (T.StructType.fromDDL(f"a {kind}") for kind in (one, other))
+    wanted = T.StructType.fromDDL(f"a {merged}")
+    assert schema.merge_schemas(a, b) == schema.merge_schemas(b, a) == wanted
+    given = spark.createDataFrame([("0.5",), (None,)], "a string")
+    for narrow in (a, b):
+        df = given.select(F.col("a").cast(narrow["a"].dataType))
+        kept = [(r["a"],) for r in df.collect()]
+        assert [tuple(r) for r in schema.conform(df, wanted).collect()] == kept
+    if wanted not in (a, b):
+        with pytest.raises(SchemaConflict):
+            schema.conform(given.select(F.col("a").cast(one)), b)

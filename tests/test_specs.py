@@ -31,6 +31,16 @@ def test_no_split_column_means_disabled(spark):
     assert (row["split_by"], row["check_col"], row["enabled"]) == ("", "", False)
 
 
+def test_a_port_belongs_to_the_server(spark):
+    row = describe_jobs(parse(spark, "mysql:h:3306:d:t:id:4:id:0"), "/lz").first()
+    assert (row["server"], row["database"], row["table"], row["last_val"]) == ("h:3306", "d", "t", "0")
+    assert (row["job_name"], row["spec_error"]) == ("mysql:h:3306:d:t", None)
+    assert row["connect_string"] == "jdbc:mysql://h:3306/d"
+    assert row["target_dir"] == "/lz/h_3306/d/t"  # no colon in a path
+    plain = parse(spark, "mysql:h:3306:d:t:id:4", incremental=False).first()
+    assert (plain["server"], plain["mappers"], plain["spec_error"]) == ("h:3306", "4", None)
+
+
 @pytest.mark.parametrize(
     "spec, error",
     [
@@ -38,6 +48,8 @@ def test_no_split_column_means_disabled(spark):
         ("mysql:h:d:t:id:4:id:", "expected 8 fields, found 7"),
         ("mysql:h:d:t:id:4:id:0:9", "expected 8 fields, found 9"),
         ("mysql:h:d:t:id:four:id:0", "mappers is not a number"),
+        ("mysql:h:3306:d:t:id:4:id", "expected 8 fields, found 7"),
+        ("mysql:h:3306:d:t:id:4:id:0:9:9:9:9:9", "expected 8 fields, found 13"),
         (None, "no spec"),
     ],
 )
