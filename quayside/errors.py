@@ -21,5 +21,9 @@ class UnsupportedLayout(QuaysideError):
     """The file layout of a landing dataset is not Parquet."""
 
 
+class SplitNotPossible(QuaysideError):
+    """A table cannot be read in ranges of a column of this type."""
+
+
 class JobNotFound(QuaysideError):
     """No job of that name is registered."""

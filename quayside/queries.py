@@ -20,7 +20,7 @@ from quayside.functions.naming import (
 )
 from quayside.operators import groups, keyed, profile, runlog, schema
 from quayside.operators.discovery import discover_specs
-from quayside.operators.specs import parse_specs
+from quayside.operators.specs import describe_jobs, good_specs, parse_specs
 from quayside.plans import load
 from quayside.plans.intake import Intake, json_lines
 from quayside.plans.registry import Registry
@@ -174,6 +174,22 @@ def evolve_load(spark, sf_dir):
     return spark.table(f"{_catalog_name(root)}.customer").select(*columns)
 
 
+@query(
+    "select o_orderkey, cast(round(case when o_orderstatus = 'O' then o_totalprice / 4 else o_totalprice end, "
+    "case when o_orderstatus = 'O' then 4 else 2 end) as double) as price from orders"
+)
+def evolve_decimals(spark, sf_dir):
+    """Two batches of prices, the second with more digits behind the point."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    is_open, price = F.col("o_orderstatus") == "O", F.col("o_totalprice")
+    first = orders.where(~is_open).select("o_orderkey", price.cast("decimal(12,2)").alias("price"))
+    second = orders.where(is_open).select("o_orderkey", (price / 4).cast("decimal(13,4)").alias("price"))
+    root = new_dir(spark, "load")
+    for batch in (first, second):
+        _land_and_load(spark, root, batch, "orders")
+    return spark.table(f"{_catalog_name(root)}.orders").select("o_orderkey", F.col("price").cast("double"))
+
+
 def _land_and_load(spark, root, rows, name, check_col=None):
     run_id = new_dir(spark, "run").rsplit("-", 1)[1]
     landing, database = f"{root}/landing/run-{run_id}", _catalog_name(root)
@@ -343,6 +359,21 @@ def spec_parse(spark, sf_dir):
     )
 
 
+@query(
+    "select s_suppkey, 'host-' || s_nationkey || ':' || (3306 + s_nationkey) as server, 'shop' as database, "
+    "'t' || s_suppkey as \"table\", 'mysql:host-' || s_nationkey || ':' || (3306 + s_nationkey) || ':shop:t' || s_suppkey "
+    "as job_name, 'jdbc:mysql://host-' || s_nationkey || ':' || (3306 + s_nationkey) || '/shop' as connect_string, "
+    "'/data/lz/host-' || s_nationkey || '_' || (3306 + s_nationkey) || '/shop/t' || s_suppkey as target_dir from supplier"
+)
+def server_ports(spark, sf_dir):
+    """Specs of servers with a port."""
+    spec = F.expr("'mysql:host-' || s_nationkey || ':' || (3306 + s_nationkey) || ':shop:t' || s_suppkey || ':id:4:id:0'")
+    specs = table(spark, sf_dir, "supplier").select("s_suppkey", spec.alias("spec"))
+    return describe_jobs(good_specs(parse_specs(specs, "spec")), load.LANDING_ROOT).select(
+        "s_suppkey", "server", "database", "table", "job_name", "connect_string", "target_dir"
+    )
+
+
 @query(
     "select doc_id, lower(concat_ws('.', lang, source, 'Doc.' || doc_id, 'username')) as config_key, "
     "upper(concat_ws('_', lang, replace(replace(source || '-a.b', '.', '_'), '-', '_'), "
@@ -787,6 +818,16 @@ def import_database(spark, sf_dir):
     return reduce(DataFrame.unionByName, counts).join(runs, "table_name", "left")
 
 
+@query("select * from lineitem")
+def import_keyless(spark, sf_dir):
+    """A table without a key: whole, by a job without split and check column."""
+    intake, database = _intake(spark, sf_dir), _fresh_database(spark)
+    job = f"parquet:local:{database}:lineitem"
+    intake.create_jobs(small_frame(spark, [(f"{job}::4::0",)], "input string"))
+    intake.run_table(job)
+    return spark.table(f"{database}.lineitem")
+
+
 def _fresh_database(spark: SparkSession) -> str:
     return "db_" + new_dir(spark, "x").rsplit("-", 1)[1]
 

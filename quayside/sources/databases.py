@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import logging
+import math
 from collections.abc import Collection
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from decimal import Decimal
+from functools import partial
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -13,12 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quayside.errors import SplitNotPossible
 from quayside.operators.discovery import AUTO_KEY_MARK
 from quayside.operators.groups import GROUP_SIZE
 from quayside.operators.profile import find_key
 from quayside.session import child_names, small_frame
 from quayside.sources.incremental import high_mark, increment
 from quayside.sources.late import FOLD, check_type, late_rows
+from quayside.sources.ranges import even_cuts, predicates
 
 log = logging.getLogger(__name__)
 
@@ -27,6 +32,8 @@ COLUMNS_SCHEMA = f"{TABLES_SCHEMA}, column_name string, extra string, last_val s
 
 # Rows a JDBC read keeps in memory at a time, unless the caller says otherwise.
 FETCH_SIZE = "10000"
+# About the most rows of one range query.
+ROWS_PER_READ = 10_000_000
 
 
 @dataclass
@@ -132,12 +139,17 @@ class CatalogDatabase(LakeDatabase):
 
 @dataclass
 class JdbcDatabase:
-    """A database behind a JDBC url. `options` holds driver, user, password, fetchsize …"""
+    """A database behind a JDBC url. `options` holds driver, user, password, fetchsize …
+
+    `rows_per_read` is about the most rows that one range query brings; none leaves the number
+    of queries to the job's mappers.
+    """
 
     spark: SparkSession
     url: str
     name: str
     options: dict[str, str] = field(default_factory=dict)
+    rows_per_read: int | None = ROWS_PER_READ
 
     @classmethod
     def at(cls, spark: SparkSession, db_type: str, server: str, database: str, **options: str):
@@ -198,13 +210,19 @@ class JdbcDatabase:
     def _where(
         self, table: str, check_col: str | None, last: str | None, high: str | None
     ) -> str:
+        tests = self._conditions(table, check_col, last, high)
+        return f" WHERE {' AND '.join(tests)}" if tests else ""
+
+    def _conditions(
+        self, table: str, check_col: str | None, last: str | None, high: str | None
+    ) -> list[str]:
+        """What rows in (last, high] meet."""
         if not check_col:
-            return ""
+            return []
         data_type = check_type(self.table(table), check_col)
         column = self._quoted(check_col)
         tests = [f"{column} > {_sql_literal(last, data_type)}"] if last else []
-        tests += [f"{column} <= {_sql_literal(high, data_type)}"] if high else []
-        return f" WHERE {' AND '.join(tests)}" if tests else ""
+        return tests + ([f"{column} <= {_sql_literal(high, data_type)}"] if high else [])
 
     def read(
         self,
@@ -217,31 +235,67 @@ class JdbcDatabase:
     ) -> DataFrame:
         """The whole table, or with a check column the rows in (last, high].
 
-        With a split column the read runs as `mappers` range queries side by side; null
-        split values go to the first range and values outside the bounds to the end ranges.
+        With a split column the read runs as range queries side by side, `mappers` of them or
+        more where a range would hold more than `rows_per_read` rows. Ranges of numbers hold
+        about equally many rows, by counts that the database makes; dates and times are split
+        into ranges of one width. Null split values go to the first range and values that turn
+        up outside the bounds to the end ranges. Columns of other types raise SplitNotPossible.
         """
-        reader = self._reader().option("dbtable", self._quoted(table))
-        bounds = None
+        whole = self.table(table)
+        reader = self._reader()
+        name, bounds = self._quoted(table), None
         if split_by and mappers > 1:
+            kind = check_type(whole, split_by)
+            if not isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+                raise SplitNotPossible(f"cannot split '{table}' by '{split_by}' of type {kind.simpleString()}")
             bounds = self.bounds(table, split_by, check_col, last, high)
-        if bounds:
-            reader = reader.options(
+        if bounds is None:
+            df = whole
+        elif isinstance(kind, T.NumericType):
+            least, top = (math.floor(Decimal(bound)) for bound in bounds)
+            where = self._conditions(table, check_col, last, high)
+            cuts = even_cuts(
+                partial(self._cell_counts, table, split_by, where, least), least, top, mappers, self.rows_per_read
+            )
+            df = reader.jdbc(self.url, name, predicates=predicates(self._quoted(split_by), cuts))
+        else:
+            df = reader.option("dbtable", name).options(
                 partitionColumn=split_by,
                 lowerBound=bounds[0],
                 upperBound=bounds[1],
                 numPartitions=str(mappers),
-            )
-        df = reader.load()
+            ).load()
         return increment(df, check_col, last, high) if check_col else df
 
+    def cell_query(
+        self, table: str, column: str, where: list[str], low: int, width: int, stretches: list[tuple[int, int]] | None
+    ) -> str:
+        """Rows per cell of a grid that begins at `low`, within stretches of the column."""
+        column = self._quoted(column)
+        tests = [*where, f"{column} IS NOT NULL"]
+        if stretches is not None:
+            within = (f"{column} >= {a} AND {column} < {b}" for a, b in stretches)
+            tests.append("(" + " OR ".join(within) + ")")
+        # By the remainder, as quotients are rounded differently from database to database.
+        start = f"FLOOR({column} - MOD({column} - {low}, {width}))"
+        inner = f"SELECT {start} AS c FROM {self._quoted(table)} WHERE {' AND '.join(tests)}"
+        return f"SELECT c, COUNT(*) AS n FROM ({inner}) AS cells GROUP BY c"
+
+    def _cell_counts(
+        self, table: str, column: str, where: list[str], low: int, width: int, stretches: list[tuple[int, int]] | None
+    ) -> list[tuple[int, int]]:
+        query = self.cell_query(table, column, where, low, width, stretches)
+        df = self._reader().option("query", query).load()
+        return [(int(start), int(n)) for start, n in df.collect()]
 
     def range_query(
         self, table: str, check_col: str, floor: str | None, mark: str, low: int, width: int
     ) -> str:
         """The sums that prove a region, worked out by the database: one row per range."""
         column = self._quoted(check_col)
-        number = f"FLOOR(({column} - {low}) / {width})"
-        place = f"({column} - {low} - {width} * {number})"
+        # By the remainder: a quotient that is not whole is rounded by some databases.
+        place = f"MOD({column} - {low}, {width})"
+        number = f"FLOOR(({column} - {low} - {place}) / {width})"
         folded = f"MOD({place}, {FOLD})"
         where = self._where(table, check_col, floor, mark)
         inner = f"SELECT {number} AS r, {place} AS p, {folded} AS f FROM {self._quoted(table)}{where}"

@@ -17,7 +17,8 @@ LAZY = [
     name
     for name in entry.queries()
     if name
-    not in {"import_database", "initialise_database", "resume_import", "evolve_load", "stream_import"}
+    not in {"import_database", "initialise_database", "resume_import", "evolve_load", "stream_import",
+                    "evolve_decimals", "import_keyless"}
 ]
 
 

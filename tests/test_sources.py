@@ -1,9 +1,14 @@
+import re
 from datetime import datetime
+from functools import reduce
 
 import pytest
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import rows
+from quayside.errors import SplitNotPossible
 from quayside.sources import datasets
 from quayside.sources.databases import CatalogDatabase, JdbcDatabase, ParquetDatabase
 from quayside.sources.incremental import high_mark, increment
@@ -99,6 +104,10 @@ class FakeReader:
         self.calls.append(self.seen)
         return self.frames[self.seen.get("dbtable", "bounds")]
 
+    def jdbc(self, url, table, predicates):
+        self.calls.append(self.seen | {"url": url, "dbtable": table, "predicates": predicates})
+        return self.frames[table]
+
 
 class FakeSpark:
     def __init__(self, frames):
@@ -136,11 +145,91 @@ def test_jdbc_split_read_options(spark):
     read = calls[-1]
     assert (read["fetchsize"], read["useCursorFetch"]) == ("10000", "true")
     assert (read["dbtable"], read["user"], read["url"]) == ("`t`", "u", "jdbc:mysql://host/db")
+
+
+def test_jdbc_times_are_split_by_width(spark):
+    database, calls = jdbc(spark)
+    frames = database.spark.frames
+    frames["`t`"] = spark.sql("SELECT DATE '2024-01-01' AS d UNION ALL SELECT DATE '2024-03-01'")
+    frames["bounds"] = spark.sql("SELECT DATE '2024-01-01' AS lo, DATE '2024-03-01' AS hi")
+    assert database.read("t", "d", 4).count() == 2
+    read = calls[-1]
     assert (read["partitionColumn"], read["lowerBound"], read["upperBound"], read["numPartitions"]) == (
-        "id", "1", "5", "4",
+        "d", "2024-01-01", "2024-03-01", "4",
     )
 
 
+def test_text_is_no_split_column(spark):
+    database, _ = jdbc(spark)
+    with pytest.raises(SplitNotPossible, match="'name' of type string"):
+        database.read("t", "name", 4)
+    assert database.read("t", "name", 1).count() == 3
+
+
+class QueryReader(FakeReader):
+    """Answers queries and conditions by Spark's own SQL, over views."""
+
+    def load(self):
+        self.calls.append(self.seen)
+        spark = self.frames
+        return spark.sql(self.seen["query"]) if "query" in self.seen else spark.table(self.seen["dbtable"])
+
+    def jdbc(self, url, table, predicates):
+        self.calls.append(self.seen | {"predicates": predicates})
+        parts = [self.frames.table(table).where(p).withColumn("part", F.lit(i)) for i, p in enumerate(predicates)]
+        return reduce(DataFrame.unionByName, parts)
+
+
+class QuerySpark(FakeSpark):
+    @property
+    def read(self):
+        return QueryReader(self.frames, self.calls)
+
+
+def uneven(spark, kind):
+    """A third of the rows has one key, most others lie far above the rest; some have none."""
+    keys = [7] * 300 + list(range(-50, 50)) + [10**12 + 3 * i for i in range(600)] + [None] * 9
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k bigint, i int")
+    df.select(F.col("k").cast(kind), "i").createOrReplaceTempView("uneven")
+    fake = QuerySpark(spark)
+    return JdbcDatabase(fake, "jdbc:mysql://h/d", "d"), fake.calls, keys
+
+
+@pytest.mark.parametrize("kind", ["bigint", "decimal(20,2)", "double"])
+def test_uneven_keys_make_even_reads(spark, kind):
+    database, calls, keys = uneven(spark, kind)
+    got = database.read("uneven", "k", 10)
+    assert sorted(r["i"] for r in got.select("i").collect()) == list(range(len(keys)))  # each row once
+    sizes = sorted(r["count"] for r in got.groupBy("part").count().collect())
+    assert sizes[-1] < 300 + 2 * 100 + 9 and sizes[-2] <= 200 and len(sizes) >= 8
+    # Counts of cells come back, never rows.
+    assert all("COUNT(*)" in c["query"] or "MIN(" in c["query"] for c in calls if "query" in c)
+
+
+def test_ranges_as_text(spark):
+    database, calls, _ = uneven(spark, "bigint")
+    database.read("uneven", "k", 4)
+    predicates = calls[-1]["predicates"]
+    cuts = [int(x) for p in predicates for x in re.findall(r">= (-?\d+)", p)]
+    assert predicates[0] == f"`k` < {cuts[0]} OR `k` IS NULL" and predicates[-1] == f"`k` >= {cuts[-1]}"
+    assert predicates[1:-1] == [f"`k` >= {a} AND `k` < {b}" for a, b in zip(cuts, cuts[1:])]
+
+
+def test_more_reads_for_more_rows(spark):
+    database, calls, _ = uneven(spark, "bigint")
+    database.rows_per_read = 20
+    got = database.read("uneven", "k", 2)
+    sizes = sorted(r["count"] for r in got.groupBy("part").count().collect())
+    assert len(calls[-1]["predicates"]) >= 1000 // 40 and sizes[-2] <= 40
+
+
+def test_split_reads_keep_to_the_increment(spark):
+    database, calls, keys = uneven(spark, "bigint")
+    got = database.read("uneven", "k", 6, "k", "7", str(10**12 + 30))
+    assert sorted(r["k"] for r in got.collect()) == sorted(k for k in keys if k is not None and 7 < k <= 10**12 + 30)
+    assert all("`k` > 7 AND `k` <= 1000000000030" in c["query"] for c in calls if "query" in c)
+
+
 def test_jdbc_whole_table_in_one_read(spark):
     database, calls = jdbc(spark)
     assert database.read("t").count() == 3
