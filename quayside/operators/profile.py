@@ -10,6 +10,10 @@ from pyspark.sql import types as T
 
 from quayside.functions.naming import named
 
+# A run of values shares one set of bits, as many as a long has; a value is its place's bit there.
+_BIT_SHIFT = 6
+_BIT = "shiftleft(1L, CAST(value & 63 AS int))"
+
 WHOLE_NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
@@ -48,9 +52,9 @@ def whole_number_columns(df: DataFrame) -> list[str]:
 def column_profile(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows, nulls, distinct values, minimum and maximum of each table's whole-number columns.
 
-    All columns are stacked to (column, value) pairs and equal pairs are merged before the
-    one shuffle, so neither a long column nor a hot value ends up in one task. Columns go by
-    number until the end, which keeps the pairs small.
+    All columns are stacked to (column, value) pairs and values are merged to sets of bits
+    before the one shuffle, so neither a long column nor a hot value ends up in one task.
+    Columns go by number until the end, which keeps the pairs small.
     """
     names, stacked = [], []
     for table, df in tables.items():
@@ -65,16 +69,22 @@ def column_profile(tables: dict[str, DataFrame]) -> DataFrame:
     )
     return (
         reduce(DataFrame.unionByName, stacked)
-        .groupBy("_no", "value")
-        .count()
-        .groupBy("_no")
+        .groupBy("_no", F.shiftright("value", _BIT_SHIFT).alias("run"))
         .agg(
-            F.sum("count").alias("n_rows"),
-            F.sum(F.when(F.col("value").isNull(), F.col("count")).otherwise(0)).alias("n_nulls"),
-            F.count("value").alias("n_distinct"),
+            F.count("*").alias("n"),
+            F.count("value").alias("n_values"),
+            F.bit_or(F.expr(_BIT)).alias("bits"),
             F.min("value").alias("lo"),
             F.max("value").alias("hi"),
         )
+        .groupBy("_no")
+        .agg(
+            F.sum("n").alias("n_rows"),
+            (F.sum("n") - F.sum("n_values")).alias("n_nulls"),
+            F.coalesce(F.sum(F.bit_count("bits").cast("long")), F.lit(0)).alias("n_distinct"),
+            F.min("lo").alias("lo"),
+            F.max("hi").alias("hi"),
+        )
         .withColumn("_name", F.get(name_of, "_no"))
         .select("_name.*", "n_rows", "n_nulls", "n_distinct", "lo", "hi")
     )
@@ -110,10 +120,6 @@ def find_key(df: DataFrame) -> tuple[str, int] | None:
     return next(((c, low) for c, low in lows.items() if n_distinct[c] == facts["n_rows"]), None)
 
 
-# Values that share one bit set: as many as a long has bits.
-_BITS = 64
-
-
 def distinct_values(df: DataFrame, columns: list[str]) -> dict[str, int]:
     """Exact number of distinct values of each whole-number column, nulls aside, in one pass.
 
@@ -123,8 +129,7 @@ def distinct_values(df: DataFrame, columns: list[str]) -> dict[str, int]:
     """
     values = F.array(*(named(c).cast("long") for c in columns))
     stacked = df.select(F.posexplode(values).alias("no", "value")).where("value is not null")
-    bits = stacked.groupBy("no", F.shiftright("value", 6).alias("run")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, CAST(value & {_BITS - 1} AS int))")).alias("bits")
-    )
+    runs = stacked.groupBy("no", F.shiftright("value", _BIT_SHIFT).alias("run"))
+    bits = runs.agg(F.bit_or(F.expr(_BIT)).alias("bits"))
     counted = bits.groupBy("no").agg(F.sum(F.bit_count("bits")).alias("n")).collect()
     return {**dict.fromkeys(columns, 0), **{columns[r["no"]]: r["n"] for r in counted}}

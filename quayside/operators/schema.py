@@ -136,6 +136,13 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
+def fits_as_is(batch: T.StructType, schema: T.StructType) -> bool:
+    """True if files of `batch` read under `schema` as they are: each column is there under the
+    same name and with the same type. Columns that the files lack read as null."""
+    wanted = {f.name: _all_nullable(f.dataType) for f in schema}
+    return all(wanted.get(f.name) == _all_nullable(f.dataType) for f in batch)
+
+
 def union_by_name(*frames: DataFrame) -> DataFrame:
     """All rows of all frames under their merged schema."""
     merged = reduce(lambda target, df: merge_schemas(df.schema, target), frames, T.StructType([]))

@@ -91,6 +91,19 @@ def rename_path(spark: SparkSession, path: str, to: str) -> None:
         raise QuaysideError(f"cannot rename {path} to {to}")
 
 
+def move_dir(spark: SparkSession, path: str, to: str) -> bool:
+    """Put a folder in another's place, which is replaced; false if that is on another file system."""
+    filesystem, source = _filesystem(spark, path)
+    other, target = _filesystem(spark, to)
+    if not filesystem.getUri().equals(other.getUri()):
+        return False
+    filesystem.delete(target, True)
+    filesystem.mkdirs(target.getParent())
+    if not filesystem.rename(source, target):
+        raise QuaysideError(f"cannot rename {path} to {to}")
+    return True
+
+
 def write_json_lines(spark: SparkSession, folder: str, records: list[dict]) -> None:
     """Add a small file of JSON lines to a folder.
 

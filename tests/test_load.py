@@ -120,3 +120,27 @@ def test_decimals_widen_over_old_files(spark, place):
     ]
     with pytest.raises(SchemaConflict):
         place(spark.sql("SELECT 9 AS k, CAST(1 AS decimal(38,0)) AS x, array(CAST(3 AS decimal(5,1))) AS a"), "r9")
+
+
+def test_a_batch_of_the_tables_types_is_moved(spark, place, tmp_path):
+    place(spark.createDataFrame([(1, "x")], "a bigint, b string"), "r1")
+    for run_id, df, moved in (
+        ("r2", spark.createDataFrame([("y", 2)], "B string, a bigint"), True),  # another order
+        ("r3", spark.createDataFrame([(3,)], "a bigint"), True),  # a column less
+        ("r4", spark.createDataFrame([(4, "z")], "a int, b string"), False),  # a narrower type
+    ):
+        landing = f"{tmp_path}/landing/{run_id}"
+        load.land(df, landing)
+        landed = {n for n in child_names(spark, landing) if n.startswith("part-")}
+        assert load.load(spark, landing, place.table, place.path, run_id).n_rows == 1
+        loaded = {n for n in child_names(spark, f"{place.path}/run-{run_id}") if n.startswith("part-")}
+        assert (landed == loaded, path_exists(spark, landing)) == (moved, not moved)
+    assert rows(spark.table(place.table)) == [(1, "x"), (2, "y"), (3, None), (4, "z")]
+
+
+def test_a_move_replaces_what_the_run_had_loaded(spark, place):
+    place(spark.range(5), "r1")
+    place(spark.range(100, 103), "r2")
+    place(spark.range(200, 202), "r2")
+    assert rows(spark.table(place.table)) == [(i,) for i in [*range(5), 200, 201]]
+
