@@ -110,12 +110,15 @@ class Intake:
         """Run the enabled jobs of a database, up to `batch_size` at a time.
 
         The next job starts as soon as one ends, so a long table holds up no others. A job
-        that fails does not stop the rest; its outcome carries the error.
+        that fails does not stop the rest; its outcome carries the error. Start the session with
+        spark.scheduler.mode=FAIR, so that tables imported side by side share the executors.
         """
         jobs = self.registry.details(database=database, enabled=True).orderBy("job_name").collect()
         if not jobs:
             log.warning("No jobs found for database %s", database)
             return []
+        if self.spark.sparkContext.getConf().get("spark.scheduler.mode", "FIFO") != "FAIR":
+            log.warning("spark.scheduler.mode is not FAIR: a long table's tasks go before those of later ones")
 
         def run(job: Row) -> Outcome:
             self.spark.sparkContext.setLocalProperty("spark.scheduler.pool", job["job_name"])
@@ -177,6 +180,7 @@ class Intake:
             self.run_log.append(event(5, phase, runlog.ERROR, message=str(error)))
             raise
         load.clean_up(self.spark, landing)
+        self.run_log.tidy(job_name)
         return Outcome(job_name, run_id, loaded.n_rows, high, n_late=n_late, generation=job["generation"])
 
     def _source_rows(

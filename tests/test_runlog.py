@@ -4,7 +4,9 @@ import pytest
 
 from conftest import rows
 from quayside.operators import runlog
+from quayside.plans import runs
 from quayside.plans.runs import Event, RunLog, Standing
+from quayside.session import child_names
 
 
 @pytest.fixture
@@ -84,3 +86,50 @@ def test_reconcile_has_groups_of_either_side(spark):
     assert rows(runlog.reconcile(landed, loaded, ["g"])) == [
         ("a", 2, 1, 1), ("b", 1, 0, 1), ("c", 0, 1, -1),
     ]
+
+
+def _thousand_runs(log, n=60):
+    for i in range(n):
+        second = i % 60
+        note(log, f"r{i:03d}", 1, "import", "STARTED", second, generation=i % 3)
+        note(log, f"r{i:03d}", 4, "load", "FINISHED", second, n_rows=i, mark=str(i), generation=i % 3)
+
+
+def _read(log):
+    job = "mysql:h:d:t"
+    folded = [log.standing(job), log.standing(job, 1), rows(log.runs()), log.search(status="STARTED").count()]
+    return folded, rows(log.events())
+
+
+def test_tidied_events_tell_the_same(log):
+    job, folder = "mysql:h:d:t", f"{log.root}/mysql%3Ah%3Ad%3At"
+    _thousand_runs(log)
+    before = _read(log)
+    log.tidy_after = 100
+    assert log.tidy(job) and _read(log) == before  # the old files are still there
+    assert log.tidy(job) and _read(log) == before
+    files = [n for n in child_names(log.spark, folder) if n.endswith(".json") and not n.startswith("_")]
+    assert len(files) == 2 and not log.tidy(job)
+    note(log, "r100", 1, "import", "STARTED", 59, mark=None)
+    assert log.standing(job).open_run == "r100"
+
+
+@pytest.mark.parametrize("lost_at", ["write_json_lines", "rename_path", "delete_path"])
+def test_a_tidy_cut_short_loses_no_event(log, monkeypatch, lost_at):
+    job = "mysql:h:d:t"
+    log.tidy_after = 20
+    _thousand_runs(log, 12)
+    before = _read(log)
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    for _ in range(2):
+        with monkeypatch.context() as patch:
+            patch.setattr(runs, lost_at, lost)
+            with pytest.raises(RuntimeError):
+                log.tidy(job)
+        assert _read(log) == before
+    log.tidy_after = 1
+    for _ in range(3):
+        assert log.tidy(job) and _read(log) == before
