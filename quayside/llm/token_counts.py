@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.tables import whole_text
+from quayside.llm.tables import whole_text, written
 
 RUN = 1024  # neighbouring lengths whose sums are made together
 
@@ -53,9 +53,10 @@ def totals(counts: DataFrame) -> DataFrame:
     they occur. An empty table gives an empty result.
 
     Sums run from the longest length down, first over runs of neighbouring lengths and then
-    within each, so no task holds all lengths.
+    within each, so no task holds all lengths. The histogram, which is read twice, is written
+    first, so that documents are encoded once. `at_limits` and `quantiles` answer from the result.
     """
-    lengths_ = histogram(counts).withColumns(
+    lengths_ = written(histogram(counts), "lengths").withColumns(
         {"run": F.floor(F.col("context_limit") / RUN), "tokens": F.col("context_limit") * F.col("n_docs")}
     )
     runs = lengths_.groupBy("run").agg(F.sum("n_docs").alias("run_docs"), F.sum("tokens").alias("run_tokens"))
@@ -88,3 +89,63 @@ def totals(counts: DataFrame) -> DataFrame:
             ((F.col("all_docs") - F.col("docs_over")) / F.col("all_docs")).alias("share_within"),
         )
     )
+
+
+def at_limits(table: DataFrame, limits: list[int]) -> DataFrame:
+    """Of the result of `totals`, one row for each limit asked for, whether such a length occurs or not.
+
+    context_limit, docs_over, docs_within, tokens_within and truncated_total as in `totals`.
+    Repeated limits are answered once, limits below 0 are refused. An empty table gives no rows.
+    """
+    limits = sorted(set(limits))
+    if limits and limits[0] < 0:
+        raise ValueError("a context limit cannot be negative")
+    if not limits:
+        limits_schema = "context_limit long, docs_over long, docs_within long, tokens_within long, truncated_total long"
+        return table.sparkSession.createDataFrame([], limits_schema)
+    reached = F.struct("docs_over", "docs_within", "tokens_within")
+    # One aggregate a limit, combined in each task: the longest length that is within it.
+    found = table.agg(
+        F.max(F.col("docs_over") + F.col("docs_within")).alias("n"),
+        *(
+            F.max_by(reached, F.when(F.col("context_limit") <= limit, F.col("context_limit"))).alias(f"_{i}")
+            for i, limit in enumerate(limits)
+        ),
+    ).where("n is not null")
+    rows = []
+    for i, limit in enumerate(limits):
+        over, within, tokens = (
+            F.coalesce(F.col(f"_{i}.{name}"), default)
+            for name, default in (("docs_over", F.col("n")), ("docs_within", F.lit(0)), ("tokens_within", F.lit(0)))
+        )
+        rows.append(
+            F.struct(
+                F.lit(limit).cast("long").alias("context_limit"),
+                over.alias("docs_over"),
+                within.alias("docs_within"),
+                tokens.alias("tokens_within"),
+                (tokens + F.lit(limit) * over).alias("truncated_total"),
+            )
+        )
+    return found.select(F.inline(F.array(*rows)))
+
+
+def quantiles(table: DataFrame, shares: list[float]) -> DataFrame:
+    """Of the result of `totals`, for each share the smallest length that this part of all documents fits in.
+
+    share and context_limit. Repeated shares are answered once; shares must lie in (0, 1]. An
+    empty table gives no rows.
+    """
+    shares = sorted(set(shares))
+    if any(not 0 < q <= 1 for q in shares):
+        raise ValueError("a share lies in (0, 1]")
+    if not shares:
+        return table.sparkSession.createDataFrame([], "share double, context_limit long")
+    first = (
+        F.min(F.when(F.col("share_within") >= q, F.col("context_limit"))).alias(f"_{i}") for i, q in enumerate(shares)
+    )
+    found = table.agg(*first).where("_0 is not null")
+    rows = (
+        F.struct(F.lit(float(q)).alias("share"), F.col(f"_{i}").alias("context_limit")) for i, q in enumerate(shares)
+    )
+    return found.select(F.inline(F.array(*rows)))
