@@ -5,19 +5,21 @@ and two similar sets share one among their first ones (the prefix). Sets with th
 and size form one group, which stands in the index once. A set is named by a 64-bit hash of its
 shingles together with its size.
 
-Candidates are found in turns. First, each list of the index links neighbours in size
-order: that suffices to connect most families of near copies, in as many pairs as the lists have
-entries. While many entries of the lists are still apart, neighbours in random orders follow,
-again in no more pairs than entries. Last, only what is still apart meets: within a list that holds several components,
-members outside the largest one meet all others. A pair left out has both ends in one component
-already, so no class is lost and families do not meet in all pairs. Sets of given sizes must
-share a number of prefix shingles, so a set with many rare ones need look only into the few
-shortest of its lists, or none. Every pair is verified on the whole sets.
-
-Links are counted once the classes stand: both ends of a link are in one class, so all pairs of
-sets of a class are compared, and no others. A class is dealt into blocks of sets; a task has two
-blocks and gets the shingles that all their pairs share from one matrix product, so that rows
-grow with a class's sets times its blocks, not with its pairs.
+Candidates are found in turns, which gather sets into families. First, each list of the index
+pairs neighbours in size order, in as many pairs as the lists have entries; pairs that share half
+of their shingles are of one family, as two sets similar to a third one are. While many entries of
+the lists are still apart, neighbours in random orders follow, again in no more pairs than entries.
+Last, only what is still apart meets: within a list that holds several families, members outside
+the largest one meet all others, and similar pairs join their families. A pair left out has both
+ends in one family already, so no link is lost and families do not meet in all pairs. Sets of given
+sizes must share a number of prefix shingles, so a set with many rare ones need look only into the
+few shortest of its lists, or none. Every pair is verified on the whole sets.
+
+Both ends of a link are in one family then, so all pairs of sets of a family are compared, and no
+others. A family is dealt into blocks of sets; a task has two blocks and gets the shingles that all
+their pairs share from one matrix product. It returns each set's links and the least set that they
+lead to within the task, so that rows grow with a family's sets times its blocks, not with its
+pairs. Classes are the components of these.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ from quayside.llm.tables import whole_text, written
 from quayside.llm.word_hashes import shingle_hashes, slices, text_bytes, word_hashes
 
 PERCENT = 75
+# Of a family: sets that are similar to a third one share half of their shingles at least.
+FAMILY_PERCENT = 50
 # Prefixes are longer by n // SPARE than one common shingle needs: similar sets then share more
 # than n // SPARE of theirs, n being the smaller size, and pairs that share fewer are no candidates.
 SPARE = 32
@@ -54,7 +58,7 @@ ORDERS = 4  # random orders of a turn
 # In the last turn a set looks into as many of its shortest lists as similar sets must share one
 # of, and so many more; they must then share so many more, too.
 MORE_LISTS = 2
-BLOCK = 256  # sets of a class, on average, that are compared with another such block in one task
+BLOCK = 512  # sets of a family, on average, that are compared with another such block in one task
 COLUMNS = 1 << 13  # shingles in one matrix product of two blocks
 
 
@@ -194,8 +198,8 @@ def _wanted_sets(bitmaps: dict[int, bytes]):
     return run
 
 
-def similar(common, left, right):
-    return 100 * common >= PERCENT * (left + right - common)
+def similar(common, left, right, percent=PERCENT):
+    return 100 * common >= percent * (left + right - common)
 
 
 def _shingles_of(docs: DataFrame, asked: DataFrame) -> DataFrame:
@@ -207,11 +211,11 @@ def _shingles_of(docs: DataFrame, asked: DataFrame) -> DataFrame:
         .collect()
     )  # at most SKETCH_BITS / BITMAP rows
     wanted = docs.mapInArrow(_wanted_sets(bitmaps), "set_id long, n int, shingles array<bigint>")
-    return written(wanted.dropDuplicates(["set_id", "n"]), "sets")
+    return wanted.dropDuplicates(["set_id", "n"])
 
 
-def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Of pairs of sets (a, a_n, b, b_n) those that are similar."""
+def _verified(docs: DataFrame, pairs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Of pairs of sets (a, a_n, b, b_n) those that share so many percent of their shingles."""
     pairs = written(pairs, "pairs")
     asked = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
     wanted = _shingles_of(docs, asked)
@@ -220,7 +224,8 @@ def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     )
     both = pairs.join(side("a"), ["a", "a_n"]).join(side("b"), ["b", "b_n"])
     common = F.size(F.array_intersect("a_set", "b_set"))
-    return written(both.where(similar(common, F.col("a_n"), F.col("b_n"))).select("a", "a_n", "b", "b_n"), "links")
+    alike = similar(common, F.col("a_n"), F.col("b_n"), percent)
+    return written(both.where(alike).select("a", "a_n", "b", "b_n"), "links")
 
 
 def _in_common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -241,14 +246,29 @@ def _in_common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return common
 
 
+def _least_linked(linked: np.ndarray) -> np.ndarray:
+    """Of the nodes of a symmetric table of links, the least node reachable from each."""
+    least = np.arange(len(linked))
+    ends = np.nonzero(linked)
+    while len(ends[0]):
+        seen = least.copy()
+        np.minimum.at(seen, ends[0], least[ends[1]])
+        seen = seen[seen]
+        if (seen == least).all():
+            break
+        least = seen
+    return least
+
+
 def _compared(table: pa.Table) -> pa.Table:
-    """set_id, n and links of sets within each task (two blocks, or one with itself) of a bucket."""
+    """set_id, n, links and a linked set of sets within each task (two blocks, or one with itself) of a bucket."""
     names, sizes, tasks, kinds = (table.column(c).to_numpy() for c in ("set_id", "n", "task", "kind"))
     shingles = table.column("shingles").combine_chunks()
     edges, values = shingles.offsets.to_numpy(), shingles.values.to_numpy()
     order = np.lexsort((kinds, tasks))
     starts = np.flatnonzero(np.diff(tasks[order], prepend=tasks[order[0]] - 1))
     links = np.zeros(len(names), np.int64)
+    to = np.arange(len(names))
     for places in np.split(order, starts[1:]):
         one, two = (places[kinds[places] == k] for k in (1, 2))
         itself = kinds[places[0]] == 0
@@ -260,22 +280,29 @@ def _compared(table: pa.Table) -> pa.Table:
         linked = similar(common, sizes[one][:, None].astype(np.int64), sizes[two][None, :].astype(np.int64))
         if itself:
             np.fill_diagonal(linked, False)
+            to[places] = places[_least_linked(linked)]
         else:
             links[two] += linked.sum(axis=0)
+            across = np.zeros((len(places), len(places)), bool)  # places has one before two
+            across[: len(one), len(one) :] = linked
+            to[places] = places[_least_linked(across | across.T)]
         links[one] += linked.sum(axis=1)
-    return pa.table({"set_id": names, "n": sizes, "links": links})
+    return pa.table({"set_id": names, "n": sizes, "links": links, "to": names[to], "to_n": sizes[to]})
 
 
-def link_counts(docs: DataFrame, ends: DataFrame) -> DataFrame:
-    """set_id, n and links, the number of other sets that are similar, of all sets in `ends`.
+def compared(docs: DataFrame, families: DataFrame) -> DataFrame:
+    """Links of all sets in `families`, from all pairs of sets of a family.
 
-    `ends` holds set_id, n and class of each set that is in a class with others.
+    `families` holds set_id, n and class, the family, of each set that is in one with others. A row
+    is of a set and a block of its family: set_id, n, links, the number of similar sets that it
+    was compared with there, and to and to_n, a set (or itself) that links lead to. A family's
+    links connect the same sets as its rows do.
     """
-    counts = ends.groupBy("class").agg(F.count("*").alias("sets")).withColumn("blocks", F.ceil(F.col("sets") / BLOCK))
-    small = ends.count() // BLOCK + 1  # classes of one block share buckets
+    counts = families.groupBy("class").agg(F.count("*").alias("sets")).withColumn("blocks", F.ceil(F.col("sets") / BLOCK))
+    small = families.count() // BLOCK + 1  # families of one block share buckets
     own, other = F.col("own"), F.col("other")
     dealt = (
-        ends.join(counts, "class")
+        families.join(counts, "class")
         .withColumn("own", F.pmod(F.xxhash64("set_id", "n"), F.col("blocks")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         .withColumn("task", F.xxhash64("class", F.least(own, other), F.greatest(own, other)))
@@ -287,9 +314,9 @@ def link_counts(docs: DataFrame, ends: DataFrame) -> DataFrame:
             F.when(own == other, 0).when(own < other, 1).otherwise(2).alias("kind"),
         )
     )
-    sets = _shingles_of(docs, ends.select(F.col("set_id").alias("id")))
-    compared = dealt.join(sets, ["set_id", "n"]).groupBy("bucket").applyInArrow(_compared, "set_id long, n int, links long")
-    return written(compared.groupBy("set_id", "n").agg(F.sum("links").alias("links")), "link-counts")
+    sets = _shingles_of(docs, families.select(F.col("set_id").alias("id")))
+    rows = dealt.join(sets, ["set_id", "n"]).groupBy("bucket")
+    return written(rows.applyInArrow(_compared, "set_id long, n int, links long, to long, to_n int"), "compared")
 
 
 def _node(name: str, size: str):
@@ -362,29 +389,25 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cou
         "prefixes",
     )
     members = written(entries.select("group_id", "n", "set_id").distinct(), "members")
-    # The index. Lists of one entry go; parts of long lists stay.
+    # The index. Tasks may have sent a group each; lists of one group go, parts of long lists stay.
     index = entries.where("tokens is not null").select(
         F.explode(F.arrays_zip("tokens", "salts")).alias("x"), "group_id", "n"
     )
-    in_list = Window.partitionBy("token", "salt").orderBy("n", "group_id")
+    list_part = Window.partitionBy("token", "salt")
+    before = F.lag(F.struct("n", "group_id")).over(list_part.orderBy("n", "group_id"))
     index = written(
         index.select(F.col("x.tokens").alias("token"), F.col("x.salts").alias("salt"), "group_id", "n")
-        .withColumns(
-            {
-                "before": F.lag(F.struct("n", "group_id")).over(in_list),
-                "after": F.lead(F.struct("n", "group_id")).over(in_list),
-            }
-        )
-        .where("before is not null or after is not null or salt > 0"),
+        .withColumn("before", before)
+        .where("before is null or before.n <> n or before.group_id <> group_id")
+        .withColumn("entries", F.count("*").over(list_part))
+        .where("entries > 1 or salt > 0"),
         "index",
     )
     heads = members.groupBy("group_id", "n").agg(F.min("set_id").alias("set_id"))
     neighbours = index.select(
         F.col("before.group_id").alias("a_group"), F.col("before.n").alias("a_n"),
         F.col("group_id").alias("b_group"), F.col("n").alias("b_n"),
-    ).where(F.col("a_group").isNotNull() & _in_reach("a_n", "b_n")).where(
-        (F.col("a_group") != F.col("b_group")) | (F.col("a_n") != F.col("b_n"))
-    )
+    ).where(F.col("a_group").isNotNull() & _in_reach("a_n", "b_n"))
     # The first turn may leave pairs out, as the second sees all that are still apart.
     often = 2 + F.floor(F.least("a_n", "b_n") / (4 * SPARE))
     neighbours = (
@@ -403,36 +426,50 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cou
         across.select(*sides).unionByName(
             within.select(F.col("before").alias("a"), F.col("n").alias("a_n"), F.col("set_id").alias("b"), F.col("n").alias("b_n"))
         ),
+        FAMILY_PERCENT,
     )
-    links, together = turn_one, written(_classes(turn_one), "classes")
+    links, together = turn_one, written(_classes(turn_one), "families")
     crowds = members.groupBy("group_id", "n").agg(F.count("*").alias("members")).where("members > 1")
-    entry = index.select("token", "group_id", "n").distinct()
+    # Lists in parts are of the ORDERED shingles, so a broadcast of them is bounded.
+    long = index.where("salt > 0").groupBy("token").agg(F.count("*").alias("whole"))
     of_group = Window.partitionBy("group_id", "n")
-    units = (
-        entry.join(entry.groupBy("token").agg(F.count("*").alias("entries")), "token")
+    least = 1 + F.floor(F.ceil(PERCENT * F.col("n") / 100) / SPARE)  # lists that any two similar sets share
+    lists = (
+        index.select("token", "group_id", "n", "entries")
+        .join(F.broadcast(long), "token", "left")
+        .withColumn("entries", F.coalesce("whole", "entries"))
         .withColumns(
             {
                 "place": F.row_number().over(of_group.orderBy("entries", "token")),
                 "held": F.count("*").over(of_group).cast("int"),
             }
         )
-        .join(members, ["group_id", "n"])
-        .select("token", "set_id", "n", "place", "held", F.lit(False).alias("grouped"))
+        .where(F.col("held") >= least)
+    )
+    placed = written(_with_class(members, together), "members")
+    units = (
+        lists.join(placed, ["group_id", "n"])
+        .select("token", "set_id", "n", "place", "held", F.lit(False).alias("grouped"), "class")
         .unionByName(
-            members.join(crowds, ["group_id", "n"]).select(
-                F.col("group_id").alias("token"), "set_id", "n", F.lit(0).alias("place"), F.lit(0).alias("held"), F.lit(True).alias("grouped")
+            placed.join(crowds, ["group_id", "n"]).select(
+                F.col("group_id").alias("token"), "set_id", "n", F.lit(0).alias("place"), F.lit(0).alias("held"), F.lit(True).alias("grouped"), "class"
             )
         )
     )
-    mixed = _mixed(units, together)
+    mixed = _mixed(units)
     for turn in range(MORE_TURNS):
         if not _crowded(mixed):
             break
-        links = links.unionByName(_verified(docs, _neighbours(mixed, turn)))
-        together = written(_classes(links), "classes")
-        mixed = _mixed(mixed.select(*units.columns), together)
+        links = links.unionByName(_verified(docs, _neighbours(mixed, turn), FAMILY_PERCENT))
+        together = written(_classes(links), "families")
+        mixed = _mixed(_with_class(mixed.select(*(c for c in units.columns if c != "class")), together))
     turn_two = _verified(docs, _apart(mixed).select(*sides))
-    ends = written(_classes(links.unionByName(turn_two)), "classes")
+    found = compared(docs, written(_classes(links.unionByName(turn_two)), "families"))
+    one, other = F.struct("n", "set_id"), F.struct(F.col("to_n").alias("n"), F.col("to").alias("set_id"))
+    linked = found.where(one != other).select(
+        F.col("set_id").alias("a"), F.col("n").alias("a_n"), F.col("to").alias("b"), F.col("to_n").alias("b_n")
+    )
+    ends = written(_classes(linked), "classes")
     # Ids: of a set, of a class, and back to the rows.
     least = written(
         named.groupBy("set_id", "n").agg(F.min("doc_id").alias("least")), "least-ids"
@@ -445,7 +482,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cou
     )
     counted = []
     if count_links:
-        ids = ids.join(link_counts(docs, ends.select("set_id", "n", "class")), ["set_id", "n"], "left")
+        ids = ids.join(found.groupBy("set_id", "n").agg(F.sum("links").alias("links")), ["set_id", "n"], "left")
         counted = [F.coalesce("links", F.lit(0)).alias("links")]
     return named.join(ids, ["set_id", "n"], "left").select(
         "doc_id",
@@ -457,15 +494,18 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cou
     )
 
 
-def _mixed(units: DataFrame, together: DataFrame) -> DataFrame:
+def _with_class(sets: DataFrame, together: DataFrame) -> DataFrame:
+    """Sets with their class, which is their own where they are in none with others."""
+    alone = F.struct(F.col("n").alias("n"), F.col("set_id").alias("id"))
+    return sets.join(together, ["set_id", "n"], "left").withColumn("class", F.coalesce("class", alone))
+
+
+def _mixed(units: DataFrame) -> DataFrame:
     """Entries of lists that hold several classes: class, is_main, and the list's size and others.
 
     A list's main class is its largest one; others are the entries outside it.
     """
-    alone = F.struct(F.col("n").alias("n"), F.col("set_id").alias("id"))
-    units = written(
-        units.join(together, ["set_id", "n"], "left").withColumn("class", F.coalesce("class", alone)), "units"
-    )
+    units = written(units, "units")
     largest = F.max(F.struct("entries", "class"))
     main = (
         units.groupBy("token", "class")

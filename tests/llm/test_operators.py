@@ -438,6 +438,34 @@ def test_links_of_every_set(spark, monkeypatch, block):
     assert got[0] == 8 and got[20] < got[23] < 7
 
 
+@pytest.mark.parametrize("block", [512, 24])
+def test_a_family_near_the_threshold(spark, monkeypatch, block):
+    """Links are all found where most pairs are only almost similar, without verifying each pair."""
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    verified, counts = jaccard._verified, []
+    monkeypatch.setattr(jaccard, "_verified", lambda docs, pairs, *more: counts.append(pairs.count()) or verified(docs, pairs, *more))
+    rows = []
+    for k in range(160):
+        w = [f"w{i}" for i in range(150)]
+        for m in range(2 + k % 3):
+            w[4 + (37 * m + 11 * k + k * k * (m + 1)) % 142] = f"new{k}x{m}"
+        rows.append((k, " ".join(w)))
+    got = local(jaccard.classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)))
+    sets = {i: {tuple(t[k : k + 5]) for k in range(len(t) - 4)} for i, t in ((i, x.split()) for i, x in rows)}
+    near = {i: {j for j in sets if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])} for i in sets}
+    least = dict.fromkeys(sets)
+    for i in sets:  # from the smallest id on
+        todo = [i] if least[i] is None else []
+        while todo:
+            j = todo.pop()
+            if least[j] is None:
+                least[j] = i
+                todo += near[j]
+    assert {x["doc_id"]: (x["links"], x["component_id"]) for x in got} == {i: (len(near[i]) - 1, least[i]) for i in sets}
+    assert len(set(least.values())) == 34
+    assert sum(counts) < 8 * len(rows)
+
+
 @pytest.mark.parametrize("place", [0, 90, 299])
 def test_shards_beside_a_large_group_are_even(spark, place):
     """One text with a third of all bytes fills one shard; the other 15 share the rest."""
