@@ -46,6 +46,7 @@ SPARE = 32
 # lists short, and the number bounds what each task is sent (16 bytes each).
 ORDERED = 1 << 17
 LEAST_COUNT = 4
+TEXT_BYTES = 1 << 20  # of texts whose words are hashed together, which bounds the memory of a worker
 COUNTED = 1 << 22  # shingles counted together within a task
 LIST_PART = 4096  # entries of a known long list that are put in order together
 SKETCH_BITS = 1 << 25  # of the filter that keeps sets nobody asks for from being sent
@@ -66,7 +67,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, n
     """Batches of documents with the names of their sets and the sets, sorted."""
     for batch in batches:
         raw, edges = text_bytes(batch.column(1))
-        for first, last in slices(edges):
+        for first, last in slices(edges, TEXT_BYTES):
             part = edges[first : last + 1]
             words, counts = word_hashes(raw[part[0] : part[-1]], part - part[0])
             hashes, n = shingle_hashes(words, counts)
@@ -179,10 +180,11 @@ def _wanted_sets(bitmaps: dict[int, bytes]):
     packed = np.packbits(sketch).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flags = np.unpackbits(np.frombuffer(packed, np.uint8))
+        flags = np.frombuffer(packed, np.uint8)
         seen: set = set()
         for _, names, sets in _sets(batches):
-            asked = flags[names & (SKETCH_BITS - 1)]
+            at = names & (SKETCH_BITS - 1)
+            asked = flags[at >> 3] >> (7 - (at & 7)) & 1
             places = [i for i in _once(seen, names, sets) if asked[i]]
             for start in range(0, len(places), 256):
                 some = places[start : start + 256]

@@ -31,11 +31,11 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (raw[edges[0] : edges[-1]], edges - edges[0]) if len(edges) else (raw[:0], np.zeros(1, np.int64))
 
 
-def slices(edges: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Runs of texts of about SLICE_BYTES together, a longer text by itself."""
+def slices(edges: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Runs of texts of about `most` bytes together, a longer text by itself."""
     first, rows = 0, len(edges) - 1
     while first < rows:
-        last = int(np.searchsorted(edges, edges[first] + SLICE_BYTES, side="right")) - 1
+        last = int(np.searchsorted(edges, edges[first] + most, side="right")) - 1
         last = min(max(last, first + 1), rows)
         yield first, last
         first = last
