@@ -7,7 +7,7 @@ import public_tokenizers
 from quayside.llm import jaccard, mixing, pieces, quality, secret_scan
 from quayside.llm.queries import MODEL
 from quayside.llm.tables import read
-from quayside.session import apply_settings, new_dir
+from quayside.session import apply_settings, delete_path, new_dir
 
 
 def keep_good(spark, docs, sf_dir):
@@ -49,11 +49,14 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    """All stages over documents, each written and read again."""
+    """All stages over documents, each written and read again; the one before is then deleted."""
     apply_settings(spark)
-    docs = read(spark, sf_dir, "documents")
+    docs, before = read(spark, sf_dir, "documents"), None
     for _, stage in STAGES:
         path = new_dir(spark, "stage")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            delete_path(spark, before)
+        before = path
     return docs

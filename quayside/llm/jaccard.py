@@ -25,6 +25,7 @@ pairs. Classes are the components of these.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from quayside.llm.components import components
 from quayside.llm.numbers import Lookup, mix
-from quayside.llm.tables import whole_text, written
+from quayside.llm.tables import Working, whole_text
 from quayside.llm.word_hashes import shingle_hashes, slices, text_bytes, word_hashes
 
 PERCENT = 75
@@ -216,9 +217,9 @@ def _shingles_of(docs: DataFrame, asked: DataFrame) -> DataFrame:
     return wanted.dropDuplicates(["set_id", "n"])
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def _verified(docs: DataFrame, pairs: DataFrame, work: Working, percent: int = PERCENT) -> DataFrame:
     """Of pairs of sets (a, a_n, b, b_n) those that share so many percent of their shingles."""
-    pairs = written(pairs, "pairs")
+    pairs = work.written(pairs, "pairs")
     asked = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
     wanted = _shingles_of(docs, asked)
     side = lambda x: wanted.select(
@@ -227,7 +228,9 @@ def _verified(docs: DataFrame, pairs: DataFrame, percent: int = PERCENT) -> Data
     both = pairs.join(side("a"), ["a", "a_n"]).join(side("b"), ["b", "b_n"])
     common = F.size(F.array_intersect("a_set", "b_set"))
     alike = similar(common, F.col("a_n"), F.col("b_n"), percent)
-    return written(both.where(alike).select("a", "a_n", "b", "b_n"), "links")
+    links = work.written(both.where(alike).select("a", "a_n", "b", "b_n"), "links")
+    work.drop(pairs)
+    return links
 
 
 def _in_common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -292,13 +295,13 @@ def _compared(table: pa.Table) -> pa.Table:
     return pa.table({"set_id": names, "n": sizes, "links": links, "to": names[to], "to_n": sizes[to]})
 
 
-def compared(docs: DataFrame, families: DataFrame) -> DataFrame:
+def compared(docs: DataFrame, families: DataFrame, work: Working) -> DataFrame:
     """Links of all sets in `families`, from all pairs of sets of a family.
 
     `families` holds set_id, n and class, the family, of each set that is in one with others. A row
     is of a set and a block of its family: set_id, n, links, the number of similar sets that it
     was compared with there, and to and to_n, a set (or itself) that links lead to. A family's
-    links connect the same sets as its rows do.
+    links connect the same sets as its rows do. The rows are a table of `work`.
     """
     counts = families.groupBy("class").agg(F.count("*").alias("sets")).withColumn("blocks", F.ceil(F.col("sets") / BLOCK))
     small = families.count() // BLOCK + 1  # families of one block share buckets
@@ -318,19 +321,21 @@ def compared(docs: DataFrame, families: DataFrame) -> DataFrame:
     )
     sets = _shingles_of(docs, families.select(F.col("set_id").alias("id")))
     rows = dealt.join(sets, ["set_id", "n"]).groupBy("bucket")
-    return written(rows.applyInArrow(_compared, "set_id long, n int, links long, to long, to_n int"), "compared")
+    return work.written(rows.applyInArrow(_compared, "set_id long, n int, links long, to long, to_n int"), "compared")
 
 
 def _node(name: str, size: str):
     return F.struct(F.col(size).alias("n"), F.col(name).alias("id"))
 
 
-def _classes(links: DataFrame) -> DataFrame:
-    """set_id, n, root_id and root_n of every set in a link."""
-    found = components(links.select(_node("a", "a_n").alias("a"), _node("b", "b_n").alias("b")))
-    return found.select(
-        F.col("node.id").alias("set_id"), F.col("node.n").alias("n"), F.col("root").alias("class")
-    )
+def _classes(links: DataFrame, work: Working, label: str) -> DataFrame:
+    """set_id, n and class, the class's smallest set, of every set in a link, as a table of `work`."""
+    rounds = Working()
+    found = components(links.select(_node("a", "a_n").alias("a"), _node("b", "b_n").alias("b")), rounds)
+    named = found.select(F.col("node.id").alias("set_id"), F.col("node.n").alias("n"), F.col("root").alias("class"))
+    table = work.written(named, label)
+    rounds.drop_others()
+    return table
 
 
 def _prefix_length(n):
@@ -354,7 +359,13 @@ def _in_reach(small: str, large: str):
     return 100 * F.col(small) >= PERCENT * F.col(large)
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_links: bool = True) -> DataFrame:
+def classes(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    count_links: bool = True,
+    work: Working | None = None,
+) -> DataFrame:
     """doc_id, n_shingles, component_id, class_texts, links and set_id of every row.
 
     Class_texts is the number of distinct sets in the class, links the number of other distinct
@@ -365,13 +376,16 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cou
     nothing: its component is its own id. Equal texts are linked. Repeated rows stay. A null
     id is kept, and a component takes its smallest id that is not null. An empty table gives
     an empty result.
+
+    Working tables are dropped as the steps that read them end; what the result reads stays in
+    `work`, for a caller that knows when the result has been read.
     """
-    spark = docs.sparkSession
+    work = work or Working()
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
-    first = written(
+    first = work.written(
         docs.mapInArrow(_named, "doc_id long, set_id long, n int, tokens binary, counts binary"), "set-names"
     )
-    named = first.where("n >= 0").select("doc_id", "set_id", "n")
+    named = work.written(first.where("n >= 0").select("doc_id", "set_id", "n"), "sets")
     frequent = (
         first.where("n < 0")
         .select("tokens", "counts")
@@ -383,21 +397,22 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cou
         .limit(ORDERED)
         .toArrow()
     )
+    work.drop(first)
     order = (frequent["token"].to_numpy(), frequent["count"].to_numpy())
-    entries = written(
+    entries = work.written(
         docs.mapInArrow(
             _prefixes(*order), "set_id long, n int, group_id long, tokens array<bigint>, salts array<int>"
         ),
         "prefixes",
     )
-    members = written(entries.select("group_id", "n", "set_id").distinct(), "members")
+    members = work.written(entries.select("group_id", "n", "set_id").distinct(), "members")
     # The index. Tasks may have sent a group each; lists of one group go, parts of long lists stay.
     index = entries.where("tokens is not null").select(
         F.explode(F.arrays_zip("tokens", "salts")).alias("x"), "group_id", "n"
     )
     list_part = Window.partitionBy("token", "salt")
     before = F.lag(F.struct("n", "group_id")).over(list_part.orderBy("n", "group_id"))
-    index = written(
+    index = work.written(
         index.select(F.col("x.tokens").alias("token"), F.col("x.salts").alias("salt"), "group_id", "n")
         .withColumn("before", before)
         .where("before is null or before.n <> n or before.group_id <> group_id")
@@ -405,6 +420,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cou
         .where("entries > 1 or salt > 0"),
         "index",
     )
+    work.drop(entries)
     heads = members.groupBy("group_id", "n").agg(F.min("set_id").alias("set_id"))
     neighbours = index.select(
         F.col("before.group_id").alias("a_group"), F.col("before.n").alias("a_n"),
@@ -428,9 +444,10 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cou
         across.select(*sides).unionByName(
             within.select(F.col("before").alias("a"), F.col("n").alias("a_n"), F.col("set_id").alias("b"), F.col("n").alias("b_n"))
         ),
+        work,
         FAMILY_PERCENT,
     )
-    links, together = turn_one, written(_classes(turn_one), "families")
+    links, together = [turn_one], _classes(turn_one, work, "families")
     crowds = members.groupBy("group_id", "n").agg(F.count("*").alias("members")).where("members > 1")
     # Lists in parts are of the ORDERED shingles, so a broadcast of them is bounded.
     long = index.where("salt > 0").groupBy("token").agg(F.count("*").alias("whole"))
@@ -448,7 +465,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cou
         )
         .where(F.col("held") >= least)
     )
-    placed = written(_with_class(members, together), "members")
+    placed = work.written(_with_class(members, together), "members")
+    work.drop(together)
     units = (
         lists.join(placed, ["group_id", "n"])
         .select("token", "set_id", "n", "place", "held", F.lit(False).alias("grouped"), "class")
@@ -458,32 +476,44 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cou
             )
         )
     )
-    mixed = _mixed(units)
+    mixed = _mixed(units, work)
+    work.drop(members, index, placed)
     for turn in range(MORE_TURNS):
         if not _crowded(mixed):
             break
-        links = links.unionByName(_verified(docs, _neighbours(mixed, turn), FAMILY_PERCENT))
-        together = written(_classes(links), "families")
-        mixed = _mixed(_with_class(mixed.select(*(c for c in units.columns if c != "class")), together))
-    turn_two = _verified(docs, _apart(mixed).select(*sides))
-    found = compared(docs, written(_classes(links.unionByName(turn_two)), "families"))
+        links.append(_verified(docs, _neighbours(mixed, turn), work, FAMILY_PERCENT))
+        together = _classes(reduce(DataFrame.unionByName, links), work, "families")
+        before, mixed = mixed, _mixed(
+            _with_class(mixed.select(*(c for c in units.columns if c != "class")), together), work
+        )
+        work.drop(before, together)
+    links.append(_verified(docs, _apart(mixed).select(*sides), work))
+    work.drop(mixed)
+    families = _classes(reduce(DataFrame.unionByName, links), work, "families")
+    work.drop(*links)
+    found = compared(docs, families, work)
+    work.drop(families)
     one, other = F.struct("n", "set_id"), F.struct(F.col("to_n").alias("n"), F.col("to").alias("set_id"))
     linked = found.where(one != other).select(
         F.col("set_id").alias("a"), F.col("n").alias("a_n"), F.col("to").alias("b"), F.col("to_n").alias("b_n")
     )
-    ends = written(_classes(linked), "classes")
+    ends = _classes(linked, work, "classes")
     # Ids: of a set, of a class, and back to the rows.
-    least = written(
-        named.groupBy("set_id", "n").agg(F.min("doc_id").alias("least")), "least-ids"
-    ).join(ends, ["set_id", "n"], "left")
+    least_ids = work.written(named.groupBy("set_id", "n").agg(F.min("doc_id").alias("least")), "least-ids")
     in_class = F.coalesce("class", F.struct(F.col("n").alias("n"), F.col("set_id").alias("id")))
-    least = written(least.withColumn("class", in_class), "set-classes")
+    least = work.written(
+        least_ids.join(ends, ["set_id", "n"], "left").withColumn("class", in_class), "set-classes"
+    )
+    work.drop(least_ids, ends)
     per_class = least.where("n > 0").groupBy("class").agg(F.min("least").alias("component_id"), F.count("*").alias("sets"))
-    ids = written(
+    ids = work.written(
         least.where("n > 0").join(per_class, "class").select("set_id", "n", "component_id", "sets"), "component-ids"
     )
+    work.drop(least)
     counted = []
-    if count_links:
+    if not count_links:
+        work.drop(found)
+    else:
         ids = ids.join(found.groupBy("set_id", "n").agg(F.sum("links").alias("links")), ["set_id", "n"], "left")
         counted = [F.coalesce("links", F.lit(0)).alias("links")]
     return named.join(ids, ["set_id", "n"], "left").select(
@@ -502,12 +532,12 @@ def _with_class(sets: DataFrame, together: DataFrame) -> DataFrame:
     return sets.join(together, ["set_id", "n"], "left").withColumn("class", F.coalesce("class", alone))
 
 
-def _mixed(units: DataFrame) -> DataFrame:
+def _mixed(units: DataFrame, work: Working) -> DataFrame:
     """Entries of lists that hold several classes: class, is_main, and the list's size and others.
 
     A list's main class is its largest one; others are the entries outside it.
     """
-    units = written(units, "units")
+    units = work.written(units, "units")
     largest = F.max(F.struct("entries", "class"))
     main = (
         units.groupBy("token", "class")
@@ -516,8 +546,11 @@ def _mixed(units: DataFrame) -> DataFrame:
         .agg(largest["class"].alias("main"), F.sum("entries").alias("size"), (F.sum("entries") - F.max("entries")).alias("others"))
         .where("others > 0")
     )
-    flagged = units.join(written(main, "main-classes"), "token")
-    return written(flagged.withColumn("is_main", F.col("class") == F.col("main")).drop("main"), "mixed-units")
+    main = work.written(main, "main-classes")
+    flagged = units.join(main, "token").withColumn("is_main", F.col("class") == F.col("main")).drop("main")
+    mixed = work.written(flagged, "mixed-units")
+    work.drop(units, main)
+    return mixed
 
 
 def _crowded(mixed: DataFrame) -> bool:
@@ -590,15 +623,19 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     class without any id keeps one of its rows.
     """
     names = docs.columns
-    rows = written(
+    work = Working()
+    rows = work.written(
         docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("kept_row"))
         .withColumn("row", F.monotonically_increasing_id()),
         "join-rows",
+        texts=True,
     )
     asked = rows.select(F.col("row").alias("doc_id"), F.col("kept_row.text").alias("text"))
-    found = classes(asked, count_links=False)  # rows stand in for ids, which may be null or repeated
+    found = classes(asked, count_links=False, work=work)  # rows stand in for ids, which may be null or repeated
     ids = rows.select("row", F.col("kept_row.doc_id").cast("long").alias("doc_id"))
     placed = found.select(F.col("doc_id").alias("row"), "component_id").join(ids, "row")
     first = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
     keep = placed.groupBy("component_id").agg(F.min(first).alias("first")).select(F.col("first.row").alias("row"))
-    return rows.join(written(keep, "kept-rows"), "row").select("kept_row.*")
+    keep = work.written(keep, "kept-rows")
+    work.drop_others(rows, keep)
+    return rows.join(keep, "row").select("kept_row.*")

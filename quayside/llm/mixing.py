@@ -87,7 +87,7 @@ def copies(
             "size_class": F.floor(F.log2(F.col("size") + 1.0) * CLASSES_PER_DOUBLING).cast("int"),
         }
     )
-    rows = written(rows, "mix-rows")
+    rows = written(rows, "mix-rows", texts=bool(carry))
     classes = written(
         rows.groupBy("source_key", "source", "size_class").agg(
             F.count("*").alias("class_rows"), F.sum("size").alias("class_size")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.session import new_dir
+from quayside.session import delete_path, new_dir
 
 # Words are runs of anything but blanks, tabs and line ends.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -16,15 +16,38 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(frame: DataFrame, label: str) -> DataFrame:
+def written(frame: DataFrame, label: str, texts: bool = False) -> DataFrame:
     """The same rows read back from a table in the shared folder.
 
     Later steps then start from files that outlive any executor, and every reader sees the
-    same rows even where the frame's own order is open.
+    same rows even where the frame's own order is open. Tables that hold whole `texts` are
+    packed more tightly.
     """
-    path = new_dir(frame.sparkSession, label)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    return Working().written(frame, label, texts)
+
+
+class Working:
+    """Tables of one job in the shared folder, which go as soon as no later step reads them."""
+
+    def __init__(self):
+        self._paths: dict[DataFrame, str] = {}
+
+    def written(self, frame: DataFrame, label: str, texts: bool = False) -> DataFrame:
+        """As `written` does, with a table that can be dropped."""
+        path = new_dir(frame.sparkSession, label)
+        writer = frame.write.option("compression", "zstd") if texts else frame.write
+        writer.parquet(path)
+        table = frame.sparkSession.read.schema(frame.schema).parquet(path)
+        self._paths[table] = path
+        return table
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Nothing that is still to run may read them, frames made from them included."""
+        for table in tables:
+            delete_path(table.sparkSession, self._paths.pop(table))
+
+    def drop_others(self, *kept: DataFrame) -> None:
+        self.drop(*(table for table in self._paths if table not in kept))
 
 
 def whole_text(column: str = "text") -> Column:
