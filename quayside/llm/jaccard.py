@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from quayside.llm.components import components
 from quayside.llm.numbers import Lookup, mix
-from quayside.llm.tables import Working, whole_text
+from quayside.llm.tables import Working, small_batches, whole_text
 from quayside.llm.word_hashes import shingle_hashes, slices, text_bytes, word_hashes
 
 PERCENT = 75
@@ -47,7 +47,7 @@ SPARE = 32
 # lists short, and the number bounds what each task is sent (16 bytes each).
 ORDERED = 1 << 17
 LEAST_COUNT = 4
-TEXT_BYTES = 1 << 20  # of texts whose words are hashed together, which bounds the memory of a worker
+TEXT_BYTES = 1 << 18  # of texts whose words are hashed together, which bounds the memory of a worker
 COUNTED = 1 << 22  # shingles counted together within a task
 LIST_PART = 4096  # entries of a known long list that are put in order together
 SKETCH_BITS = 1 << 25  # of the filter that keeps sets nobody asks for from being sent
@@ -89,16 +89,28 @@ def _once(seen: set, names: np.ndarray, sets: list[np.ndarray]) -> list[int]:
     return out
 
 
+def _repeated(waiting: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that occur repeatedly in the sets, and how often; takes the sets out of the list.
+
+    They are sorted in one copy, as workers stay and keep what they once held.
+    """
+    tokens = np.concatenate(waiting)
+    waiting.clear()
+    tokens.sort()
+    same = np.concatenate([[False], tokens[1:] == tokens[:-1], [False]])
+    ends = np.flatnonzero(same[1:] != same[:-1])  # first and last places of runs
+    firsts, lasts = ends[::2], ends[1::2]
+    return tokens[firsts], lasts - firsts + 1
+
+
 def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc_id, set_id and n of documents; beside them shingles that a task met repeatedly."""
     seen: set = set()
     waiting: list[np.ndarray] = []
 
     def counted() -> pa.RecordBatch:
-        tokens, counts = np.unique(np.concatenate(waiting), return_counts=True)
-        often = counts > 1
-        waiting.clear()
-        blob = lambda x, kind: pa.array([x[often].astype(kind).tobytes()], pa.binary())
+        tokens, counts = _repeated(waiting)
+        blob = lambda x, kind: pa.array([x.astype(kind).tobytes()], pa.binary())
         nothing = pa.array([None], pa.int64())
         return pa.RecordBatch.from_arrays(
             [nothing, nothing, pa.array([-1], pa.int32()), blob(tokens, np.uint64), blob(counts, np.int64)],
@@ -380,7 +392,11 @@ def classes(
     Working tables are dropped as the steps that read them end; what the result reads stays in
     `work`, for a caller that knows when the result has been read.
     """
-    work = work or Working()
+    with small_batches(docs.sparkSession):
+        return _classes_of(docs, id_col, text_col, count_links, work or Working())
+
+
+def _classes_of(docs: DataFrame, id_col: str, text_col: str, count_links: bool, work: Working) -> DataFrame:
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
     first = work.written(
         docs.mapInArrow(_named, "doc_id long, set_id long, n int, tokens binary, counts binary"), "set-names"
@@ -636,6 +652,26 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     placed = found.select(F.col("doc_id").alias("row"), "component_id").join(ids, "row")
     first = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
     keep = placed.groupBy("component_id").agg(F.min(first).alias("first")).select(F.col("first.row").alias("row"))
-    keep = work.written(keep, "kept-rows")
+    keep = work.written(_bits(keep), "kept-rows")
     work.drop_others(rows, keep)
-    return rows.join(keep, "row").select("kept_row.*")
+    return _with_bits(rows, keep).select("kept_row.*")
+
+
+def _bits(rows: DataFrame) -> DataFrame:
+    """bucket and bits: the numbers in column row, BITMAP to a bucket, one bit for each."""
+    number = F.bitmap_bucket_number(F.col("row") + 1)
+    return rows.groupBy(number.alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(F.col("row") + 1)).alias("bits")
+    )
+
+
+def _with_bits(rows: DataFrame, bits: DataFrame) -> DataFrame:
+    """The rows whose numbers have a bit.
+
+    Bits are a small part of the rows, so Spark may send them to all tasks instead of moving whole
+    texts to find which of them stay.
+    """
+    place = F.bitmap_bit_position(F.col("row") + 1)
+    byte = F.conv(F.hex(F.substring("bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    held = F.getbit(byte, (place % 8).cast("int")) == 1
+    return rows.join(bits, F.bitmap_bucket_number(F.col("row") + 1) == F.col("bucket")).where(held)

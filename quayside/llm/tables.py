@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +13,9 @@ from quayside.session import delete_path, new_dir
 # Words are runs of anything but blanks, tabs and line ends.
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
+# Spark's default is 10,000 rows; an executor and its Python workers hold whole batches of texts.
+BATCH_ROWS = "1000"
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +56,18 @@ class Working:
         self.drop(*(table for table in self._paths if table not in kept))
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs that run within send BATCH_ROWS rows to Python at once, or as many as the session says if fewer."""
+    before = spark.conf.get(ARROW_ROWS)
+    if not 0 < int(before) < int(BATCH_ROWS):
+        spark.conf.set(ARROW_ROWS, BATCH_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
+
+
 def whole_text(column: str = "text") -> Column:
     """The text, with null as the empty text."""
     return F.coalesce(F.col(column), F.lit(""))
