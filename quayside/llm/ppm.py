@@ -11,7 +11,7 @@ probability once, and a text's score is the sum over its runs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +28,9 @@ HELD_OUT, PARTS = 2, 7
 # Entries of both tables together that tasks are sent whole, 16 bytes each: 128 MB a worker at most.
 SENT_ENTRIES = 8_000_000
 FLUSH = 1 << 23  # runs counted together within a task
+SLICE_BYTES = 1 << 20  # of texts that are worked on at once; a worker holds some 60 bytes for each
+# Beyond SENT_ENTRIES: texts whose terms are asked for together, in bytes; each text weighs ROW_BYTES more.
+BLOCK_BYTES, ROW_BYTES = 1 << 25, 32
 WORDS, RUNS = 0, 1
 
 
@@ -77,7 +80,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         raw, edges = text_bytes(batch.column(0))
         train = ~np.array(batch.column(1).to_numpy(False), bool)
-        for first, last in slices(edges):
+        for first, last in slices(edges, SLICE_BYTES):
             part = edges[first : last + 1]
             body, cuts = raw[part[0] : part[-1]], part - part[0]
             words, counts = _word_codes(body, cuts)
@@ -177,7 +180,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sent:
     rows count in training as often as they occur. With no training document at all every count
     is 0 and bytes are spread evenly. An empty table gives an empty result.
 
-    Tables of up to `sent` entries go to all tasks; beyond, texts' terms are joined with them.
+    Tables of up to `sent` entries go to all tasks; beyond, each block of texts asks for its own terms once.
     """
     spark = docs.sparkSession
     docs = docs.select(
@@ -206,7 +209,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sent:
     if vocabulary + logs.count() <= sent:
         scored = _by_sending(docs, known, logs)
     else:
-        scored = _by_joining(docs, known, logs)
+        scored = _by_asking(docs, known, logs)
     return scored.select(
         "doc_id",
         "held_out",
@@ -226,9 +229,7 @@ def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.bincount(owner, weights=values, minlength=len(counts))
 
 
-def _by_code(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Codes in order, and their values."""
-    codes, values = (column.to_numpy() for column in table.toArrow().columns)
+def _in_order(codes: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(codes)
     return codes[order], values[order]
 
@@ -243,70 +244,118 @@ def _looked_up(table: tuple[np.ndarray, np.ndarray], codes: np.ndarray, default:
     return np.where(known[at] == distinct, values[at], default)[which]
 
 
+def _scored(batch: pa.RecordBatch, words: tuple, runs: tuple) -> Iterator[pa.RecordBatch]:
+    """Rows of SCORED for doc_id, text and held_out, by tables that hold what is known of their terms."""
+    raw, edges = text_bytes(batch.column(1))
+    for first, last in slices(edges, SLICE_BYTES):
+        part = edges[first : last + 1]
+        body, cuts = raw[part[0] : part[-1]], part - part[0]
+        codes, n_words = _word_codes(body, cuts)
+        values = _looked_up(words, codes, 0.0)
+        run_codes, n_runs = _runs(body, cuts)
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column(0).slice(first, last - first),
+                batch.column(2).slice(first, last - first),
+                pa.array(n_words, pa.int64()),
+                pa.array(_sums(values > 0, n_words).astype(np.int64)),
+                pa.array(_sums(values, n_words)),
+                pa.array(_sums(_looked_up(runs, run_codes, float("nan")), n_runs)),
+            ],
+            names=["doc_id", "held_out", "n_words", "n_known", "known_sum", "score"],
+        )
+
+
 def _by_sending(docs: DataFrame, known: DataFrame, logs: DataFrame) -> DataFrame:
     # Sorted arrays are searched as they were sent, so a worker holds them once and nothing beside them.
-    tables = docs.sparkSession.sparkContext.broadcast([_by_code(known), _by_code(logs)])
+    tables = docs.sparkSession.sparkContext.broadcast(
+        [_in_order(*(column.to_numpy() for column in table.toArrow().columns)) for table in (known, logs)]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, runs = tables.value
         for batch in batches:
-            raw, edges = text_bytes(batch.column(1))
-            for first, last in slices(edges):
-                part = edges[first : last + 1]
-                body, cuts = raw[part[0] : part[-1]], part - part[0]
-                codes, n_words = _word_codes(body, cuts)
-                values = _looked_up(words, codes, 0.0)
-                run_codes, n_runs = _runs(body, cuts)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(first, last - first),
-                        batch.column(2).slice(first, last - first),
-                        pa.array(n_words, pa.int64()),
-                        pa.array(_sums(values > 0, n_words).astype(np.int64)),
-                        pa.array(_sums(values, n_words)),
-                        pa.array(_sums(_looked_up(runs, run_codes, float("nan")), n_runs)),
-                    ],
-                    names=["doc_id", "held_out", "n_words", "n_known", "known_sum", "score"],
-                )
+            yield from _scored(batch, *tables.value)
 
     return docs.mapInArrow(run, SCORED)
 
 
-def _by_joining(docs: DataFrame, known: DataFrame, logs: DataFrame) -> DataFrame:
-    def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw, edges = text_bytes(batch.column(2))
-            for i in range(batch.num_rows):
-                body, cuts = raw[edges[i] : edges[i + 1]], np.array([0, edges[i + 1] - edges[i]])
-                for kind, find in ((WORDS, _word_codes), (RUNS, _runs)):
-                    codes, times = np.unique(find(body, cuts)[0], return_counts=True)
-                    n = len(codes)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([batch.column(0)[i].as_py()] * n, pa.int64()),
-                            pa.array(np.full(n, kind, np.int32)),
-                            pa.array(codes, pa.int64()),
-                            pa.array(times, pa.int64()),
-                        ],
-                        names=["row", "kind", "code", "times"],
-                    )
-
-    rows = written(docs.withColumn("row", F.monotonically_increasing_id()), "score-rows")
-    each = rows.select("row", "doc_id", "text").mapInArrow(terms, "row long, kind int, code long, times long")
-    table = known.withColumn("kind", F.lit(WORDS)).unionByName(logs.withColumn("kind", F.lit(RUNS)))
-    found = each.join(table, ["kind", "code"], "left")
-    is_word, value = F.col("kind") == WORDS, F.col("times") * F.col("value")
-    sums = found.groupBy("row").agg(
-        F.sum(F.when(is_word, F.col("times"))).alias("n_words"),
-        F.sum(F.when(is_word & (F.col("value") > 0), F.col("times"))).alias("n_known"),
-        F.sum(F.when(is_word, value)).alias("known_sum"),
-        F.sum(F.when(~is_word, value)).alias("score"),
+def _packed(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    with pa.ipc.new_stream(sink, batch.schema, options=options) as stream:
+        stream.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(packed: Iterable[pa.Scalar]) -> Iterator[pa.RecordBatch]:
+    for one in packed:
+        yield from pa.ipc.open_stream(one.as_buffer())
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a task, packed, in blocks of about BLOCK_BYTES of text; a longer text is a block by itself."""
+    block = size = 0
+    for batch in batches:
+        _, edges = text_bytes(batch.column(1))
+        for first, last in slices(edges, SLICE_BYTES):
+            more = int(edges[last] - edges[first]) + ROW_BYTES * (last - first)
+            if size and size + more > BLOCK_BYTES:
+                block, size = block + 1, 0
+            size += more
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block], pa.int64()), pa.array([_packed(batch.slice(first, last - first))], pa.binary())],
+                names=["block", "texts"],
+            )
+
+
+def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct words and runs of each block; some come again where a block's are very many or its rows lie apart."""
+    finds = {WORDS: _word_codes, RUNS: _runs}
+    found: dict[int, list[np.ndarray]] = {kind: [] for kind in finds}
+    asking = None
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        for kind, parts in found.items():
+            codes = np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.int64)
+            parts.clear()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(len(codes), asking, np.int64)),
+                    pa.array(np.full(len(codes), kind, np.int32)),
+                    pa.array(codes),
+                ],
+                names=["block", "kind", "code"],
+            )
+
+    for batch in batches:
+        for block, texts in zip(batch.column(0).to_pylist(), batch.column(1)):
+            if asking is not None and (block != asking or sum(len(c) for p in found.values() for c in p) > FLUSH):
+                yield from flush()
+            asking = block
+            for part in _unpacked([texts]):
+                raw, edges = text_bytes(part.column(1))
+                for kind, find in finds.items():
+                    found[kind].append(np.unique(find(raw, edges)[0]))
+    if asking is not None:
+        yield from flush()
+
+
+def _answered(blocks: pa.Table, answers: pa.Table) -> pa.Table:
+    """Rows of SCORED for one block."""
+    kinds, codes, values = (answers[name].to_numpy() for name in ("kind", "code", "value"))
+    words, runs = (_in_order(codes[kinds == kind], values[kinds == kind]) for kind in (WORDS, RUNS))
+    return pa.Table.from_batches(
+        [rows for batch in _unpacked(blocks["texts"]) for rows in _scored(batch, words, runs)]
     )
-    return rows.select("row", "doc_id", "held_out").join(sums, "row").select(
-        "doc_id",
-        "held_out",
-        F.coalesce("n_words", F.lit(0)).alias("n_words"),
-        F.coalesce("n_known", F.lit(0)).alias("n_known"),
-        F.coalesce("known_sum", F.lit(0.0)).alias("known_sum"),
-        "score",
+
+
+def _by_asking(docs: DataFrame, known: DataFrame, logs: DataFrame) -> DataFrame:
+    # What moves for terms is a row for each distinct term of a block, not of a text. Texts move packed.
+    blocks = docs.mapInArrow(_blocks, "block long, texts binary").select(
+        (F.shiftleft(F.spark_partition_id().cast("long"), 32) + F.col("block")).alias("block"), "texts"
     )
+    blocks = written(blocks, "score-blocks")
+    table = known.withColumn("kind", F.lit(WORDS)).unionByName(logs.withColumn("kind", F.lit(RUNS)))
+    asked = blocks.mapInArrow(_asked, "block long, kind int, code long")
+    answers = asked.join(table, ["kind", "code"]).select("block", "kind", "code", "value")
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_answered, SCORED)
